@@ -20,6 +20,11 @@ def total(a: Column) -> Column:
     return F.aggregate(a, F.lit(0.0), lambda acc, v: acc + v)
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, also when ``use`` needs it per element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def dot(a: Column, b: Column) -> Column:
     return total(F.zip_with(a, b, lambda x, y: x * y))
 
@@ -71,30 +76,34 @@ def centroid(mag: Column, hz: Column) -> Column:
 
 
 def bandwidth(mag: Column, hz: Column, center: Column) -> Column:
-    spread = total(F.zip_with(mag, hz, lambda m, f: m * (f - center) * (f - center)))
-    return F.sqrt(F.try_divide(spread, total(mag)))
+    def spread(c: Column) -> Column:
+        return total(F.zip_with(mag, hz, lambda m, f: m * (f - c) * (f - c)))
+
+    return F.sqrt(F.try_divide(let(center, spread), total(mag)))
 
 
 def flatness(mag: Column, floor: float = 1e-10) -> Column:
     power = F.transform(mag, lambda m: F.greatest(m * m, F.lit(floor)))
     n = F.size(mag)
-    return F.exp(total(F.transform(power, F.log)) / n) / (total(power) / n)
+    return F.exp(total(F.transform(power, lambda p: F.log(p))) / n) / (total(power) / n)
 
 
 def rolloff(mag: Column, hz: Column, share: float) -> Column:
     """Lowest frequency where the running sum of magnitudes reaches ``share`` of all."""
-    goal = F.lit(share) * total(mag)
-    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("below"))
-    below = F.aggregate(
-        mag,
-        start,
-        lambda acc, m: F.struct(
-            (acc["sum"] + m).alias("sum"),
-            (acc["below"] + F.when(acc["sum"] + m < goal, 1).otherwise(0)).alias("below"),
-        ),
-        lambda acc: acc["below"],
-    )
-    return F.get(hz, below)
+
+    def bins_below(goal: Column) -> Column:
+        start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("below"))
+        return F.aggregate(
+            mag,
+            start,
+            lambda acc, m: F.struct(
+                (acc["sum"] + m).alias("sum"),
+                (acc["below"] + F.when(acc["sum"] + m < goal, 1).otherwise(0)).alias("below"),
+            ),
+            lambda acc: acc["below"],
+        )
+
+    return F.get(hz, let(share * total(mag), bins_below))
 
 
 def dct_row(c: int, n: int) -> list[float]:
@@ -170,15 +179,18 @@ def steps(n: int, first: float = 0.0, last: float = 1.0) -> Column:
 
 
 def log_softmax(scores: Column) -> Column:
-    top = F.array_max(scores)
-    norm = top + F.log(total(F.transform(scores, lambda s: F.exp(s - top))))
-    return F.transform(scores, lambda s: s - norm)
+    def shifted(top: Column) -> Column:
+        norm = top + F.log(total(F.transform(scores, lambda s: F.exp(s - top))))
+        return let(norm, lambda n: F.transform(scores, lambda s: s - n))
+
+    return let(F.array_max(scores), shifted)
 
 
 def decibel_array(x: Column, floor: float = 1e-5, range_db: float = 80.0) -> Column:
     """Amplitudes in dB, nothing lower than the highest minus ``range_db``."""
     db = F.transform(x, lambda v: 20 * F.log10(F.greatest(v, F.lit(floor))))
-    return F.transform(db, lambda v: F.greatest(v, F.array_max(db) - range_db))
+    low = lambda top: F.transform(db, lambda v: F.greatest(v, top - range_db))
+    return let(F.array_max(db), low)
 
 
 def first_argmax(scores: Column) -> Column:

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("signal_queries",)
+MODULES = ("signal_queries", "table_queries")
 
 
 def _load():
