@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("signal_queries", "table_queries")
+MODULES = ("signal_queries", "table_queries", "model_queries")
 
 
 def _load():
