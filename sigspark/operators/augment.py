@@ -18,7 +18,7 @@ BLOCK = 100_000
 def augment_plan(
     clips: DataFrame, id_col: str, label: str, target: Column | int | None = None, settings: Settings = DEFAULT
 ) -> DataFrame:
-    """(label, id, method, factor) that lift every class to ``target`` rows.
+    """(label, method, factor, job, id): derived clips that lift every class to ``target`` rows.
 
     Half of what is missing comes from pitch shifts, the rest from stretching.
     Clips are taken in seeded order, all clips once per parameter, and the
@@ -44,14 +44,14 @@ def augment_plan(
     )
     spread = blocks.repartition(label, "method", "block")
     last = F.least((F.col("block") + 1) * BLOCK, F.col("todo")) - 1
-    jobs = spread.withColumn("i", F.explode(F.sequence(F.col("block") * BLOCK, last)))
+    jobs = spread.withColumn("job", F.explode(F.sequence(F.col("block") * BLOCK, last)))
     pitches = lit_array(p for p in settings.pitch_steps if p != 0)
     stretches = lit_array(s for s in settings.stretch_factors if s != 1.0)
-    turn = F.floor(F.col("i") / F.col("n"))
+    turn = F.floor(F.col("job") / F.col("n"))
     factor = F.when(F.col("method") == "pitch", F.get(pitches, turn % F.size(pitches))).otherwise(
         F.get(stretches, turn % F.size(stretches))
     )
-    jobs = jobs.select(label, "method", factor.alias("factor"), (F.col("i") % F.col("n")).alias("_place"), "i")
+    jobs = jobs.select(label, "method", factor.alias("factor"), (F.col("job") % F.col("n")).alias("_place"), "job")
     order = clips.select(label, id_col, hash60(F.lit(settings.seed), F.col(id_col)).alias("_h"))
     places = with_positions(order, [label], "_h", (id_col,), "_place").drop("_h")
     return jobs.join(places, [label, "_place"]).drop("_place")

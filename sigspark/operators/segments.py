@@ -53,12 +53,44 @@ def join_small(
     return spread.join(salted, [*on, "_salt"], how).drop("_salt")
 
 
-def _order_number(df: DataFrame, order: str) -> Column:
-    if isinstance(df.schema[order].dataType, (T.TimestampType, T.TimestampNTZType)):
+def _order_number(df: DataFrame, order: str, prefix: Column | int = 0) -> Column:
+    """A number that never falls along ``order``; text counts from after its common ``prefix``."""
+    kind = df.schema[order].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return micros(df, order).cast("double")
+    if isinstance(kind, T.StringType):
+        tail = F.substring(_hex(order), F.lit(prefix) + 1 if isinstance(prefix, int) else prefix + 1, F.lit(12))
+        return F.conv(F.rpad(tail, 12, "0"), 16, 10).cast("double")
     return F.col(order).cast("double")
 
 
+def _hex(text: str) -> Column:
+    return F.hex(F.encode(F.col(text), "utf-8"))
+
+
+def _common_prefix(a: str, b: str) -> Column:
+    """Length of what two texts start with."""
+    same = lambda n, i: F.when((n == i - 1) & (F.substring(a, i, F.lit(1)) == F.substring(b, i, F.lit(1))), i).otherwise(n)
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.least(F.length(a), F.length(b)), F.lit(1))), F.lit(0), same)
+
+
+def _with_pieces(df: DataFrame, keys: list[str], order: str, heavy: DataFrame, heavy_rows: int) -> DataFrame:
+    """Add ``_piece``: the range of the order value a row of a heavy key falls in, 0 for other keys."""
+    known = df.join(F.broadcast(heavy), keys)
+    prefix: Column | int = 0
+    if isinstance(df.schema[order].dataType, T.StringType):
+        ends = known.groupBy(*keys).agg(F.min(_hex(order)).alias("_a"), F.max(_hex(order)).alias("_b"))
+        heavy = local_table(heavy.join(ends, keys).select(*keys, "_n", _common_prefix("_a", "_b").alias("_skip")))
+        known, prefix = df.join(F.broadcast(heavy), keys), F.col("_skip")
+    value = _order_number(df, order, prefix)
+    ends = known.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    width = (F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") * 4 / heavy_rows)
+    ranges = local_table(heavy.join(ends, keys).withColumn("_width", width).drop("_n", "_hi"))
+    piece = F.when(F.col("_width") > 0, F.floor((value - F.col("_lo")) / F.col("_width")))
+    cut = df.join(F.broadcast(ranges), keys, "left").withColumn("_piece", F.coalesce(piece, F.lit(0)))
+    return cut.withColumn("_heavy", F.col("_lo").isNotNull()).select(*df.columns, "_piece", "_heavy")
+
+
 def with_positions(
     df: DataFrame,
     keys: list[str],
@@ -78,10 +110,7 @@ def with_positions(
     keys = list(keys)
     if not keys:
         return with_positions(df.withColumn("_all", F.lit(0)), ["_all"], order, ties, out, heavy_rows).drop("_all")
-    value = _order_number(df, order)
-    sizes = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(value).alias("_lo"), F.max(value).alias("_hi")
-    )
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     heavy = local_table(sizes.where(F.col("_n") > heavy_rows))
     while heavy is None:
         heavy_rows *= 10
@@ -91,13 +120,10 @@ def with_positions(
         w = Window.partitionBy(*keys).orderBy(*sort)
         return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
 
-    pieces = F.ceil(F.col("_n") * 4 / heavy_rows)
-    ranges = heavy.select(*keys, "_lo", ((F.col("_hi") - F.col("_lo")) / pieces).alias("_width"))
-    piece = F.when(F.col("_width") > 0, F.floor((value - F.col("_lo")) / F.col("_width")))
-    cut = df.join(F.broadcast(ranges), keys, "left").withColumn("_piece", F.coalesce(piece, F.lit(0)))
+    cut = _with_pieces(df, keys, order, heavy, heavy_rows)
     before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        cut.where(F.col("_lo").isNotNull())
+        cut.where("_heavy")
         .groupBy(*keys, "_piece")
         .agg(F.count(F.lit(1)).alias("_rows"))
         .withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
@@ -107,7 +133,7 @@ def with_positions(
     cut = join_small(cut, starts, [*keys, "_piece"], max_rows=10 * MAX_LOCAL_ROWS)
     w = Window.partitionBy(*keys, "_piece").orderBy(*sort)
     rank = F.row_number().over(w) - 1 + F.coalesce(F.col("_start"), F.lit(0))
-    return cut.withColumn(out, rank.cast("long")).drop("_lo", "_width", "_piece", "_start")
+    return cut.withColumn(out, rank.cast("long")).select(*df.columns, out)
 
 
 def chunk_of(idx: str, size: int = CHUNK) -> Column:

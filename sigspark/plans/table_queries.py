@@ -430,7 +430,7 @@ def q_balanced_sample(spark, d):
 j AS (SELECT label, n, 'pitch' AS method, unnest(range(0, lack // 2)) AS i FROM l
       UNION ALL SELECT label, n, 'stretch', unnest(range(0, lack - lack // 2)) FROM l),
 p AS (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY {HASH}, vec_id) - 1 AS place FROM embeddings)
-SELECT j.label, method, i, vec_id, CAST(CASE method WHEN 'pitch' THEN [-5, -4, -3, -2, -1, 1, 2, 3, 4][(i // n) % 9 + 1]
+SELECT j.label, method, i AS job, vec_id, CAST(CASE method WHEN 'pitch' THEN [-5, -4, -3, -2, -1, 1, 2, 3, 4][(i // n) % 9 + 1]
   ELSE [0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.1, 1.2, 1.3, 1.4][(i // n) % 10 + 1] END AS DOUBLE) AS factor
 FROM j JOIN p ON p.label = j.label AND p.place = i % n""")
 def q_augment_plan(spark, d):
