@@ -52,7 +52,7 @@ def dft(frame: Column, n: int, window: bool = True) -> tuple[list[Column], list[
 
 def dft_magnitude(frame: Column, n: int) -> Column:
     re, im = dft(frame, n)
-    return F.array(*[F.sqrt(a * a + b * b) for a, b in zip(re, im)])
+    return F.zip_with(F.array(*re), F.array(*im), lambda a, b: F.sqrt(a * a + b * b))
 
 
 def rms_of_spectrum(mag: Column, n: int) -> Column:

@@ -85,9 +85,14 @@ def too_long(seconds: float = DEFAULT.max_seconds) -> Column:
     return F.col("new_duration") >= seconds
 
 
+def name_table(df: DataFrame, column: str, names: tuple[str, ...]) -> DataFrame:
+    """A fixed list of names as rows."""
+    return df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias(column))
+
+
 def class_balance(df: DataFrame, classes: tuple[str, ...] = CLASSES, label: str = "label") -> DataFrame:
     """Rows per class of the list, also for classes that never occur."""
-    wanted = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(classes)], "label string, place int")
+    wanted = name_table(df, "label", classes)
     counts = df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
     joined = wanted.join(counts, "label", "left")
     return joined.select("label", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
@@ -101,7 +106,7 @@ def catalog_report(df: DataFrame, reasons: tuple[str, ...] = REASONS) -> DataFra
     """
     outcome = df.select(F.coalesce("reason", F.lit("ok")).alias("outcome"))
     counts = outcome.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
-    names = df.sparkSession.createDataFrame([(r,) for r in ("ok", *reasons)], "outcome string")
+    names = name_table(df, "outcome", ("ok", *reasons))
     full = names.join(counts, "outcome", "left").select("outcome", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
     n_all = df.agg(F.count(F.lit(1)).alias("n_all")).scalar()
     return full.withColumn("n_all", n_all)

@@ -31,18 +31,19 @@ def reflected(points: DataFrame, pad: int, size: int = CHUNK) -> DataFrame:
     return known.withColumn("pos", F.explode(mirror)).withColumn("pos", F.col("pos") + pad)
 
 
-def inverse_dft(re: Column, im: Column, n: int) -> Column:
-    """Real signal of n points (n even) from bins 0..n/2, as plain arithmetic."""
-    points = []
-    for i in range(n):
-        acc = F.get(re, F.lit(0)) * F.lit(1.0 / n)
-        for k in range(1, n // 2 + 1):
-            scale = (1.0 if k == n // 2 else 2.0) / n
-            angle = 2 * math.pi * k * i / n
-            acc = acc + F.get(re, F.lit(k)) * F.lit(scale * math.cos(angle))
-            acc = acc - F.get(im, F.lit(k)) * F.lit(scale * math.sin(angle))
-        points.append(acc)
-    return F.array(*points)
+def inverse_rows(n: int) -> tuple[list[list[float]], list[list[float]]]:
+    """What a bin's real and imaginary part add to each point of a windowed frame of n points (n even)."""
+    w = hann(n)
+    cos, sin = [], []
+    for k in range(n // 2 + 1):
+        scale = (1.0 if k in (0, n // 2) else 2.0) / n
+        cos.append([w[i] * scale * math.cos(2 * math.pi * k * i / n) for i in range(n)])
+        sin.append([-w[i] * scale * math.sin(2 * math.pi * k * i / n) for i in range(n)])
+    return cos, sin
+
+
+def lit_matrix(rows: list[list[float]]) -> Column:
+    return F.array(*[lit_array(r) for r in rows])
 
 
 def time_stretch(points: DataFrame, rate: float, length: int = 8, size: int = CHUNK) -> DataFrame:
@@ -51,23 +52,18 @@ def time_stretch(points: DataFrame, rate: float, length: int = 8, size: int = CH
     padded = reflected(points, length // 2, size)
     packed = frame_arrays(padded, length, hop).where(F.col("n") == length)
     re, im = dft(F.col("frame"), length)
-    bins = F.array(
-        *[
-            F.struct(F.lit(k).alias("bin"), F.sqrt(a * a + b * b).alias("mag"), F.atan2(b, a).alias("angle"))
-            for k, (a, b) in enumerate(zip(re, im))
-        ]
-    )
-    spectra = packed.select(KEY, "frame_idx", bins.alias("spec"))
+    polar = lambda a, b: F.struct(F.sqrt(a * a + b * b).alias("mag"), F.atan2(b, a).alias("angle"))
+    spectra = packed.select(KEY, "frame_idx", F.zip_with(F.array(*re), F.array(*im), polar).alias("spec"))
     after = spectra.select(KEY, (F.col("frame_idx") - 1).alias("frame_idx"), F.col("spec").alias("spec_next"))
-    silent = F.transform("spec", lambda s: F.struct(s["bin"].alias("bin"), F.lit(0.0).alias("mag"), F.lit(0.0).alias("angle")))
+    silent = F.transform("spec", lambda s: F.struct(F.lit(0.0).alias("mag"), F.lit(0.0).alias("angle")))
     pairs = spectra.join(after, [KEY, "frame_idx"], "left").withColumn("spec_next", F.coalesce("spec_next", silent))
     first = F.ceil(F.col("frame_idx") / rate)
     last = F.ceil((F.col("frame_idx") + 1) / rate) - 1
     wanted = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
     steps = pairs.withColumn("j", F.explode(wanted)).withColumn("share", F.col("j") * rate - F.col("frame_idx"))
     both = F.arrays_zip("spec", "spec_next")
-    rows = steps.select(KEY, "j", "share", F.explode(both).alias("b")).select(
-        KEY, "j", "share", F.col("b.spec.bin").alias("bin"), F.col("b.spec.mag").alias("m0"), F.col("b.spec.angle").alias("a0"),
+    rows = steps.select(KEY, "j", "share", F.posexplode(both).alias("bin", "b")).select(
+        KEY, "j", "share", "bin", F.col("b.spec.mag").alias("m0"), F.col("b.spec.angle").alias("a0"),
         F.col("b.spec_next.mag").alias("m1"), F.col("b.spec_next.angle").alias("a1"),
     )
     step = F.lit(math.pi * hop) * F.col("bin") / (length // 2)
@@ -79,13 +75,17 @@ def time_stretch(points: DataFrame, rate: float, length: int = 8, size: int = CH
     summed = running_sum(moved, [KEY, "bin"], "j", {"upto": "part"}, size)
     phase = F.col("upto") - F.col("turn")
     mag = (1 - F.col("share")) * F.col("m0") + F.col("share") * F.col("m1")
-    cells = summed.select(KEY, "j", "bin", (mag * F.cos(phase)).alias("re"), (mag * F.sin(phase)).alias("im"))
-    frames = cells.groupBy(KEY, "j").agg(F.sort_array(F.collect_list(F.struct("bin", "re", "im"))).alias("c"))
-    w = hann(length)
-    parts = frames.select(KEY, "j", inverse_dft(F.col("c.re"), F.col("c.im"), length).alias("y"))
-    placed = parts.select(KEY, "j", F.posexplode(F.zip_with("y", lit_array(w), lambda a, b: F.struct((a * b).alias("v"), (b * b).alias("w")))).alias("i", "o"))
+    # the inverse transform and the overlap-add are both sums: one exchange does both
+    cos, sin = inverse_rows(length)
+    re_out, im_out = mag * F.cos(phase), mag * F.sin(phase)
+    adds = F.zip_with(
+        F.get(lit_matrix(cos), F.col("bin")), F.get(lit_matrix(sin), F.col("bin")), lambda c, s: F.col("re") * c + F.col("im") * s
+    )
+    cells = summed.select(KEY, "j", "bin", re_out.alias("re"), im_out.alias("im")).withColumn("y", adds)
+    placed = cells.select(KEY, "j", "bin", F.posexplode("y").alias("i", "v"))
+    weight = F.when(F.col("bin") == 0, F.get(lit_array([v * v for v in hann(length)]), F.col("i"))).otherwise(F.lit(0.0))
     added = placed.groupBy(KEY, (F.col("j") * hop + F.col("i") - length // 2).alias("pos")).agg(
-        F.sum("o.v").alias("v"), F.sum("o.w").alias("w")
+        F.sum("v").alias("v"), F.sum(weight).alias("w")
     )
     value = F.coalesce(F.try_divide(F.col("v"), F.when(F.col("w") > 1e-10, F.col("w"))), F.col("v"))
     out = added.where(F.col("pos") >= 0).select(KEY, "pos", value.alias("x"))

@@ -118,10 +118,8 @@ SELECT signal_id, round(avg(zcr), 6) AS zcr_avg, round(min(zcr), 6) AS zcr_min,
        round(stddev_pop(zcr), 6) AS zcr_std, round(arg_min(zcr, {{'a': -rms, 'b': frame_idx}}), 6) AS zcr_loudest
 FROM z GROUP BY 1""")
 def q_zcr(spark, d):
-    packed = frames.frame_arrays(series.centred(sig_events(spark, d)), FRAME)
-    values = packed.select(
-        KEY, "frame_idx", frames.array_rms(F.col("frame")).alias("rms"), frames.array_zcr(F.col("frame")).alias("zcr")
-    )
+    packed = frames.frame_arrays(sig_events(spark, d), FRAME)
+    values = frames.describe_arrays(packed).select(KEY, "frame_idx", "zcr", F.col("rms_centred").alias("rms"))
     return rounded(values.groupBy(KEY).agg(*features.zcr_group()))
 
 
@@ -159,15 +157,10 @@ SELECT ev.signal_id, {ENV_COLUMNS}, round(crest_factor, 6) AS crest_factor,
   round(za, 6) AS zcr_avg, round(zi, 6) AS zcr_min, round(zm, 6) AS zcr_max, round(zs, 6) AS zcr_std, round(zl, 6) AS zcr_loudest
 FROM ev LEFT JOIN r USING (signal_id) LEFT JOIN g USING (signal_id) LEFT JOIN zz USING (signal_id)""")
 def q_feature_vector(spark, d):
-    packed = frames.frame_arrays(series.centred(sig_events(spark, d)), FRAME)
-    # the level taken off for the sign test goes back on for the loudness
-    points = sig_events(spark, d)
-    loudness = frames.frame_rms(points, FRAME)
-    changes = packed.select(KEY, "frame_idx", frames.array_zcr(F.col("frame")).alias("zcr"))
-    table = loudness.join(changes, [KEY, "frame_idx"])
+    table = frames.describe_arrays(frames.frame_arrays(sig_events(spark, d), FRAME)).drop("rms_centred")
     valid = frames.ranked(frames.valid_frames(table, LOUD), bounded=False)
     made = features.summary_features(valid, ("rms", "zcr"))
-    return rounded(features.envelope(loudness, 1.0, LOUD_SHARE).join(made, KEY, "left"))
+    return rounded(features.envelope(table, 1.0, LOUD_SHARE).join(made, KEY, "left"))
 
 
 @query(f"""WITH {SIG}

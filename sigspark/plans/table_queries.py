@@ -32,8 +32,9 @@ LOUDEST = "arg_min({}, {{'a': -rms, 'b': vec_id}})"
 
 
 def _series(spark, d, *columns):
-    spectra = adapters.spec_embeddings(spark, d)
-    return spectral.spectrum_series(spectra, BINS, RATE).select("signal_id", "frame_idx", "rms", *columns)
+    """Narrow series first, frame numbers after: spectra never pass a shuffle."""
+    series = spectral.spectrum_series(adapters.spec_embeddings(spark, d), BINS, RATE)
+    return adapters.number_frames(series.select("signal_id", "vec_id", "rms", *columns))
 
 
 def _with_gradient(rows, name, value):

@@ -27,12 +27,16 @@ def sig_events(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
 
 
 def spec_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One magnitude frame per vector: (signal_id, frame_idx, vec_id, mag)."""
-    vectors = read(spark, sf_dir, "embeddings").select(
+    """One magnitude frame per vector: (signal_id, vec_id, mag)."""
+    return read(spark, sf_dir, "embeddings").select(
         F.col("label").alias("signal_id"),
         "vec_id",
         F.transform("embedding", lambda v: F.abs(v.cast("double"))).alias("mag"),
     )
+
+
+def number_frames(vectors: DataFrame) -> DataFrame:
+    """Add frame_idx, the rank of the vector in its signal."""
     return with_positions(vectors, ["signal_id"], "vec_id", out="frame_idx")
 
 
