@@ -13,7 +13,12 @@ from pyspark.sql import functions as F
 
 
 def lit_array(values) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
+    """A constant array, made in one call however long it is."""
+    return F.expr("array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")")
+
+
+def lit_matrix(rows) -> Column:
+    return F.array(*[lit_array(r) for r in rows])
 
 
 def total(a: Column) -> Column:

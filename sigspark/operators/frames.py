@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sigspark.operators.segments import CHUNK, attach, with_halo, with_positions
+from sigspark.operators.segments import attach, with_halo, with_positions
 
 KEY = "signal_id"
 
@@ -42,7 +42,7 @@ def frame_arrays(points: DataFrame, length: int, hop: int | None = None) -> Data
     )
 
 
-def describe_arrays(packed: DataFrame, size: int = CHUNK) -> DataFrame:
+def describe_arrays(packed: DataFrame, size: int | None = None) -> DataFrame:
     """rms and zcr of packed frames that do not overlap; signs are taken against the mean of the signal.
 
     The mean joins the frames, not the points: an eighth of the rows or less.
@@ -101,7 +101,7 @@ def ranked(frames: DataFrame, bounded: bool) -> DataFrame:
     return with_positions(frames, [KEY], "frame_idx", out="place")
 
 
-def gradients(frames: DataFrame, columns: dict[str, Column], size: int = CHUNK) -> DataFrame:
+def gradients(frames: DataFrame, columns: dict[str, Column], size: int | None = None) -> DataFrame:
     """Gradient of each column along ``place`` and the gradient of the row before.
 
     Inside (next - previous) / 2, one-sided at both ends, NULL for a single
@@ -127,7 +127,7 @@ def gradients(frames: DataFrame, columns: dict[str, Column], size: int = CHUNK)
     )
 
 
-def loud_span(frames: DataFrame, share: float, size: int = CHUNK) -> DataFrame:
+def loud_span(frames: DataFrame, share: float, size: int | None = None) -> DataFrame:
     """Frames between the first and the last that reach ``share`` of the peak RMS.
 
     Adds peak (first loudest frame), first, last and n_frames of the signal.

@@ -97,7 +97,7 @@ def with_positions(
     order: str,
     ties: tuple[str, ...] = (),
     out: str = "pos",
-    heavy_rows: int = HEAVY_ROWS,
+    heavy_rows: int | None = None,
 ) -> DataFrame:
     """Add the 0-based rank of each row in its key, by ``order`` then ``ties``.
 
@@ -107,7 +107,7 @@ def with_positions(
     order value, ranges are ranked alone, and each adds the row count of the
     ranges before it.
     """
-    keys = list(keys)
+    keys, heavy_rows = list(keys), heavy_rows or HEAVY_ROWS
     if not keys:
         return with_positions(df.withColumn("_all", F.lit(0)), ["_all"], order, ties, out, heavy_rows).drop("_all")
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -136,20 +136,21 @@ def with_positions(
     return cut.withColumn(out, rank.cast("long")).select(*df.columns, out)
 
 
-def chunk_of(idx: str, size: int = CHUNK) -> Column:
-    return F.floor(F.col(idx) / size).cast("long")
+def chunk_of(idx: str, size: int | None = None) -> Column:
+    return F.floor(F.col(idx) / (size or CHUNK)).cast("long")
 
 
-def chunked(df: DataFrame, idx: str, size: int = CHUNK) -> DataFrame:
+def chunked(df: DataFrame, idx: str, size: int | None = None) -> DataFrame:
     return df.withColumn("_chunk", chunk_of(idx, size))
 
 
-def with_halo(df: DataFrame, idx: str, before: int, after: int, size: int = CHUNK) -> DataFrame:
+def with_halo(df: DataFrame, idx: str, before: int, after: int, size: int | None = None) -> DataFrame:
     """Cut by dense index ``idx`` and copy edge rows to the neighbour chunks.
 
     Adds ``_chunk`` and ``_home``; windows over (key, _chunk) may look
     ``before`` rows back and ``after`` rows ahead. Keep ``_home`` rows at the end.
     """
+    size = size or CHUNK
     own = chunk_of(idx, size)
     place = F.col(idx) - own * size
     copies = F.array_compact(
@@ -162,19 +163,19 @@ def with_halo(df: DataFrame, idx: str, before: int, after: int, size: int = CHUN
     return df.withColumn("_chunk", F.explode(copies)).withColumn("_home", F.col("_chunk") == own)
 
 
-def attach(series: DataFrame, per_key: DataFrame, keys: list[str], idx: str, length: str, size: int = CHUNK) -> DataFrame:
+def attach(series: DataFrame, per_key: DataFrame, keys: list[str], idx: str, length: str, size: int | None = None) -> DataFrame:
     """Join per-key values to every row of the series.
 
     ``per_key[length]`` is the number of rows (or frames) of the key. The
     per-key row is repeated once per chunk, so the join key is (key, chunk)
     and a heavy key is spread over as many tasks as it has chunks.
     """
-    last = F.floor(F.greatest(F.col(length) - 1, F.lit(0)) / size).cast("long")
+    last = F.floor(F.greatest(F.col(length) - 1, F.lit(0)) / (size or CHUNK)).cast("long")
     spread = per_key.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     return chunked(series, idx, size).join(spread, [*keys, "_chunk"]).drop("_chunk")
 
 
-def running_sum(df: DataFrame, keys: list[str], idx: str, values: dict[str, str], size: int = CHUNK) -> DataFrame:
+def running_sum(df: DataFrame, keys: list[str], idx: str, values: dict[str, str], size: int | None = None) -> DataFrame:
     """Running sums over a whole series: inside chunks, plus earlier chunk totals."""
     cut = chunked(df, idx, size)
     totals = cut.groupBy(*keys, "_chunk").agg(*[F.sum(src).alias(f"_t_{out}") for out, src in values.items()])

@@ -6,21 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sigspark.operators.frames import KEY
-from sigspark.operators.segments import CHUNK, attach
+from sigspark.operators.segments import attach
 
 
 def lengths(points: DataFrame) -> DataFrame:
     return points.groupBy(KEY).agg((F.max("pos") + 1).alias("n"))
 
 
-def peak_normalise(points: DataFrame, size: int = CHUNK) -> DataFrame:
+def peak_normalise(points: DataFrame, size: int | None = None) -> DataFrame:
     """Divide by the largest absolute value of the signal; a silent signal stays as it is."""
     peaks = points.groupBy(KEY).agg((F.max("pos") + 1).alias("n"), F.max(F.abs("x")).alias("peak"))
     scaled = F.coalesce(F.try_divide(F.col("x"), F.col("peak")), F.col("x"))
     return attach(points, peaks, [KEY], "pos", "n", size).withColumn("y", scaled)
 
 
-def slice_points(points: DataFrame, bounds: DataFrame, size: int = CHUNK) -> DataFrame:
+def slice_points(points: DataFrame, bounds: DataFrame, size: int | None = None) -> DataFrame:
     """Points in [start, end) of each signal; ``bounds`` has start, end and n.
 
     A signal too short for its range (more than one point missing) is left out.
@@ -30,7 +30,7 @@ def slice_points(points: DataFrame, bounds: DataFrame, size: int = CHUNK) -> Dat
     return cut.where((F.col("pos") >= F.col("start")) & (F.col("pos") < F.col("end")))
 
 
-def centred(points: DataFrame, size: int = CHUNK) -> DataFrame:
+def centred(points: DataFrame, size: int | None = None) -> DataFrame:
     """Signal minus its mean."""
     means = points.groupBy(KEY).agg((F.max("pos") + 1).alias("n_points"), F.avg("x").alias("level"))
     return attach(points, means, [KEY], "pos", "n_points", size).withColumn("x", F.col("x") - F.col("level"))

@@ -8,22 +8,27 @@ from pyspark.sql import functions as F
 from sigspark.functions import arrays as A
 
 
-def spectrum_series(spectra: DataFrame, bins: int, sample_rate: int, n_cepstral: int = 12) -> DataFrame:
-    """Add rms, centroid, bandwidth, flatness, rolloff_15, rolloff_85 and coef to rows with ``mag``.
+SERIES = ("rms", "centroid", "bandwidth", "flatness", "rolloff_15", "rolloff_85", "coef")
+
+
+def spectrum_series(
+    spectra: DataFrame, bins: int, sample_rate: int, wanted: tuple[str, ...] = SERIES, n_cepstral: int = 12
+) -> DataFrame:
+    """Add the wanted series of ``SERIES`` to rows with ``mag``.
 
     Row-local: the spectrum is read where it lies and nothing is exploded.
     """
     hz, mag = A.lit_array(A.bin_hz(bins, sample_rate)), F.col("mag")
-    with_center = spectra.withColumn("centroid", A.centroid(mag, hz))
-    return with_center.select(
-        "*",
-        A.rms_of_spectrum(mag, 2 * (bins - 1)).alias("rms"),
-        A.bandwidth(mag, hz, F.col("centroid")).alias("bandwidth"),
-        A.flatness(mag).alias("flatness"),
-        A.rolloff(mag, hz, 0.15).alias("rolloff_15"),
-        A.rolloff(mag, hz, 0.85).alias("rolloff_85"),
-        A.cepstrum(mag, bins, 1, n_cepstral).alias("coef"),
-    )
+    makers = {
+        "rms": lambda: A.rms_of_spectrum(mag, 2 * (bins - 1)),
+        "centroid": lambda: A.centroid(mag, hz),
+        "bandwidth": lambda: A.bandwidth(mag, hz, A.centroid(mag, hz)),
+        "flatness": lambda: A.flatness(mag),
+        "rolloff_15": lambda: A.rolloff(mag, hz, 0.15),
+        "rolloff_85": lambda: A.rolloff(mag, hz, 0.85),
+        "coef": lambda: A.cepstrum(mag, bins, 1, n_cepstral),
+    }
+    return spectra.select("*", *[makers[name]().alias(name) for name in wanted])
 
 
 def cell_statistics(df: DataFrame, cells: str) -> DataFrame:

@@ -12,13 +12,13 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sigspark.functions.arrays import dft, hann, lit_array
+from sigspark.functions.arrays import dft, hann, lit_array, lit_matrix
 from sigspark.operators.frames import KEY, frame_arrays
-from sigspark.operators.segments import CHUNK, attach, running_sum
+from sigspark.operators.segments import attach, running_sum
 from sigspark.operators.series import lengths, resample_linear
 
 
-def reflected(points: DataFrame, pad: int, size: int = CHUNK) -> DataFrame:
+def reflected(points: DataFrame, pad: int, size: int | None = None) -> DataFrame:
     """Points with ``pad`` mirrored points at both ends; adds n, the length before."""
     known = attach(points.select(KEY, "pos", "x"), lengths(points), [KEY], "pos", "n", size)
     mirror = F.array_compact(
@@ -42,11 +42,7 @@ def inverse_rows(n: int) -> tuple[list[list[float]], list[list[float]]]:
     return cos, sin
 
 
-def lit_matrix(rows: list[list[float]]) -> Column:
-    return F.array(*[lit_array(r) for r in rows])
-
-
-def time_stretch(points: DataFrame, rate: float, length: int = 8, size: int = CHUNK) -> DataFrame:
+def time_stretch(points: DataFrame, rate: float, length: int = 8, size: int | None = None) -> DataFrame:
     """Signal of length n / rate with the same pitch. Signals shorter than a frame are left out."""
     hop = length // 4
     padded = reflected(points, length // 2, size)
@@ -96,7 +92,7 @@ def time_stretch(points: DataFrame, rate: float, length: int = 8, size: int = CH
     return attach(out, ends, [KEY], "pos", "n", size).where(F.col("pos") < F.col("wanted")).select(KEY, "pos", "x")
 
 
-def pitch_shift(points: DataFrame, semitones: float, length: int = 8, size: int = CHUNK) -> DataFrame:
+def pitch_shift(points: DataFrame, semitones: float, length: int = 8, size: int | None = None) -> DataFrame:
     """Signal of the same length with a moved pitch: stretch, then resample back."""
     rate = 2.0 ** (-semitones / 12)
     moved = resample_linear(time_stretch(points, rate, length, size), 1.0 / rate).select(KEY, F.col("j").alias("pos"), "x")

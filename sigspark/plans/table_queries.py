@@ -33,7 +33,7 @@ LOUDEST = "arg_min({}, {{'a': -rms, 'b': vec_id}})"
 
 def _series(spark, d, *columns):
     """Narrow series first, frame numbers after: spectra never pass a shuffle."""
-    series = spectral.spectrum_series(adapters.spec_embeddings(spark, d), BINS, RATE)
+    series = spectral.spectrum_series(adapters.spec_embeddings(spark, d), BINS, RATE, ("rms", *columns))
     return adapters.number_frames(series.select("signal_id", "vec_id", "rms", *columns))
 
 
