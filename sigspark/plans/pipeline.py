@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from sigspark.config import BLACK_WORDS, CLASSES, DEFAULT, IGNORE_WORDS, REASONS, Settings
 from sigspark.functions.scalars import finite, stem
-from sigspark.operators import catalog, clips, features, frames
+from sigspark.operators import augment, catalog, clips, features, frames
+from sigspark.operators.segments import join_small
 from sigspark.session import stored
 from sigspark.sources import library, registry
 
@@ -25,41 +26,38 @@ class Words:
     compat: bool = False
 
 
-def describe_files(files: DataFrame, settings: Settings = DEFAULT, words: Words = Words(), training: bool = True) -> DataFrame:
+def describe_files(
+    files: DataFrame, settings: Settings = DEFAULT, words: Words = Words(), training: bool = True, mel: bool = True
+) -> DataFrame:
     """One row per file with label, times, frame series, mel matrix and reject reason, stored once.
 
-    All steps up to the stored table are row-local: rules on the path come
-    before any decoding, samples never pass a shuffle, and the written table
-    holds only frame series. ``training=False`` skips label and length rules.
+    The files are read once and every step up to the stored table is
+    row-local: samples never pass a shuffle, and the bytes of a file that its
+    header or path already rules out are not decoded. ``training=False`` skips
+    label and length rules.
     """
     s = settings
-    start = files.withColumn("file_stem", F.lower(stem("path")))
     label, rule = catalog.label_rules("path", words.classes, words.black, words.ignore, words.match, words.compat)
     none = F.lit(None).cast("string")
     readable = library.looks_readable(F.col("content"))
-    start = start.withColumn("label", label if training else none).withColumn(
-        "early", F.when(~readable, "unreadable").otherwise(rule if training else none)
+    early = F.when(~readable, "unreadable").otherwise(rule if training else none)
+    ruled = files.select(
+        "signal_id",
+        "path",
+        F.lower(stem("path")).alias("file_stem"),
+        (label if training else none).alias("label"),
+        early.alias("reason"),
+        F.when(early.isNull(), F.col("content")).alias("content"),
     )
-    facts = [c for c in ("key", "path", "file_stem", "label", "early") if c in start.columns]
-    done = start.where(F.col("early").isNotNull()).select("signal_id", *facts)
-
-    todo = start.where(F.col("early").isNull())
-    decoded = clips.with_spans(library.decode(todo, s), s)
+    timed = clips.with_spans(library.decode(ruled, s), s)
     too_long = catalog.too_long(s.max_seconds) if training else F.lit(False)
-    decoded = decoded.withColumn("early", F.when(F.col("status") != "ok", "unreadable").when(too_long, "too_long"))
+    later = F.when(F.col("status") == "unreadable", "unreadable").when(too_long, "too_long")
+    timed = timed.withColumn("reason", F.coalesce("reason", later)).drop("status")
     part = clips.slice_clip(F.col("x"), F.col("start_time"), F.col("new_duration"), s.sample_rate)
-    decoded = decoded.withColumn("x", F.when(F.col("early").isNull(), part)).drop("status")
-    series = clips.frame_series(decoded, s)
+    series = clips.frame_series(timed.withColumn("x", F.when(F.col("reason").isNull(), part)), s, mel)
     loudest = F.array_max(F.transform(F.slice("frames", 1, s.max_frames), lambda f: f["rms"]))
-    series = (
-        series.withColumn("early", F.coalesce("early", F.when(F.col("frames").isNull(), "unreadable_trim")))
-        .withColumn("early", F.coalesce("early", F.when(loudest < s.min_rms, "too_quiet")))
-    )
-    # the path facts are made again from the id: no join, so no shuffle
-    path = F.col("signal_id")
-    series = series.withColumn("path", path).withColumn("file_stem", F.lower(stem(path))).withColumn("label", label if training else none)
-    every = series.unionByName(done.drop("key"), allowMissingColumns=True).withColumnRenamed("early", "reason")
-    return stored(every, "clips")
+    last = F.when(F.col("frames").isNull(), "unreadable_trim").when(loudest < s.min_rms, "too_quiet")
+    return stored(series.withColumn("reason", F.coalesce("reason", last)), "clips")
 
 
 def split_outcome(described: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -82,8 +80,12 @@ def build_catalog(
     return described
 
 
-def extract_features(described: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """Feature rows (signal_id, label, 119 columns, mel) of the accepted clips."""
+def extract_features(described: DataFrame, settings: Settings = DEFAULT, mel: bool = True) -> DataFrame:
+    """Feature rows (signal_id, label, 119 columns, mel) of the accepted clips.
+
+    Only narrow frame series meet in the aggregations. The mel matrix is the
+    one wide column; without it the last join is narrow too.
+    """
     s = settings
     ok = described.where(F.col("reason").isNull())
     rows = ok.select("signal_id", "frame_length", F.explode("frames").alias("f")).select("signal_id", "frame_length", "f.*")
@@ -93,7 +95,28 @@ def extract_features(described: DataFrame, settings: Settings = DEFAULT) -> Data
     made = shape.join(features.summary_features(valid), "signal_id")
     names = features.feature_names()
     numbers = made.select("signal_id", *[finite(F.col(n).cast("double")).alias(n) for n in names])
-    return numbers.join(ok.select("signal_id", "label", "mel"), "signal_id").select("signal_id", "label", *names, "mel")
+    facts = ["signal_id", "label", *(["mel"] if mel else [])]
+    return numbers.join(ok.select(*facts), "signal_id").select("signal_id", "label", *names, *facts[2:])
+
+
+def augment_library(
+    spark: SparkSession, accepted: DataFrame, out: str, *paths: str, settings: Settings = DEFAULT, root: str = ""
+) -> DataFrame:
+    """Derive clips until every class is large enough; stores (new_name, label, method, factor, x).
+
+    Names are ``<factor>_<path>`` and never repeat.
+    """
+    plan = augment.augment_plan(accepted.select("signal_id", "label"), "signal_id", "label", settings=settings)
+    factor = F.when(F.col("method") == "pitch", F.format_string("%d", F.col("factor").cast("int"))).otherwise(
+        F.format_number("factor", 1)
+    )
+    named = plan.withColumn("name", augment.derived_name(factor, "signal_id", root))
+    jobs = augment.free_names(named, "name", "job").select("signal_id", "label", "method", "factor", "new_name")
+    # the jobs are few (classes x target), so they go to the files and not the files to them
+    files = join_small(library.scan_library(spark, *paths).select("signal_id", "content"), jobs, ["signal_id"], "inner")
+    decoded = library.decode(files, settings, onsets=False).where(F.col("status") == "ok").drop("status", "flux")
+    clips.derive_clips(decoded, settings).write.mode("overwrite").parquet(out)
+    return spark.read.parquet(out)
 
 
 def store_features(spark: SparkSession, root: str, run_id: str, table: DataFrame) -> DataFrame:

@@ -42,8 +42,8 @@ def predict_files(files: DataFrame, model: models.Trained, settings: Settings |
 
     No label and no length rule; the stored imputer and scaler always apply.
     """
-    described = pipeline.describe_files(files, settings or model.settings, training=False)
-    rows = feature_rows(pipeline.extract_features(described, settings or model.settings))
+    described = pipeline.describe_files(files, settings or model.settings, training=False, mel=False)
+    rows = feature_rows(pipeline.extract_features(described, settings or model.settings, mel=False))
     scored = model.score(rows, "signal_id").select("signal_id", "predicted")
     facts = described.select("signal_id", "path", "reason")
     return facts.join(scored, "signal_id", "left").select("signal_id", "path", "predicted", "reason")

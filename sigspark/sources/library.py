@@ -13,14 +13,11 @@ from pyspark.sql import types as T
 from sigspark.config import DEFAULT, Settings
 from sigspark.functions import dsp
 
-DECODED = T.StructType(
-    [
-        T.StructField("signal_id", T.StringType()),
-        T.StructField("status", T.StringType()),
-        T.StructField("x", T.ArrayType(T.FloatType())),
-        T.StructField("flux", T.ArrayType(T.DoubleType())),
-    ]
-)
+DECODED = [
+    T.StructField("status", T.StringType()),
+    T.StructField("x", T.ArrayType(T.FloatType())),
+    T.StructField("flux", T.ArrayType(T.DoubleType())),
+]
 
 
 def plain_path(path: Column) -> Column:
@@ -48,9 +45,12 @@ def with_ids(files: DataFrame) -> DataFrame:
 
 
 def scan_keyed(spark: SparkSession, requested: DataFrame, *paths: str) -> DataFrame:
-    """Files asked for by (key, path); a request without a file has NULL content."""
+    """Listing of the files asked for by (key, path); a request without a file has NULL length.
+
+    Only the listing is joined: bytes never pass a shuffle.
+    """
     wanted = requested.select("key", plain_path(F.col("path")).alias("path"))
-    files = scan_library(spark, *paths).drop("signal_id")
+    files = scan_library(spark, *paths).select("path", "length", "modificationTime")
     return wanted.join(files, "path", "left").withColumn("signal_id", F.col("path"))
 
 
@@ -63,25 +63,32 @@ def looks_readable(content: Column) -> Column:
 def decode(files: DataFrame, settings: Settings = DEFAULT, onsets: bool = True) -> DataFrame:
     """Samples of each file at the common rate, and the onset flux of the samples.
 
-    One pass over the bytes. A file that cannot be read gives a row with
-    status ``unreadable``, never an error.
+    One pass over the bytes; all columns but ``content`` go along. A file that
+    cannot be read gives status ``unreadable``, never an error; NULL content
+    gives NULL status.
     """
     s = settings
     silence = np.zeros(int(s.onset_silence * s.sample_rate), "float32")
+    schema = T.StructType([f for f in files.schema.fields if f.name != "content"] + DECODED)
+
+    def one(content: bytes | None):
+        if content is None:
+            return None, None, None
+        try:
+            rate, x = dsp.decode_wav(content)
+            x = dsp.resample(x, rate, s.sample_rate)
+            if not onsets:
+                return "ok", x, None
+            return "ok", x, dsp.onset_flux(np.concatenate([silence, x]), s.sample_rate, s.frame_length, s.onset_hop, s.n_mels)
+        except Exception:  # any damage of the bytes is the same outcome
+            return "unreadable", None, None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
-            for signal_id, content in zip(pdf["signal_id"], pdf["content"]):
-                try:
-                    rate, x = dsp.decode_wav(content)
-                    x = dsp.resample(x, rate, s.sample_rate)
-                    flux = None
-                    if onsets:
-                        flux = dsp.onset_flux(np.concatenate([silence, x]), s.sample_rate, s.frame_length, s.onset_hop, s.n_mels)
-                    rows.append((signal_id, "ok", x, flux))
-                except Exception:  # any damage of the bytes is the same outcome
-                    rows.append((signal_id, "unreadable", None, None))
-            yield pd.DataFrame(rows, columns=DECODED.names)
-
-    return files.select("signal_id", "content").mapInPandas(run, DECODED)
+            made = [one(c) for c in pdf["content"]]
+            out = pdf.drop(columns="content")
+            for i, f in enumerate(DECODED):
+                out[f.name] = pd.Series([m[i] for m in made], index=out.index, dtype=object)
+            yield out
+
+    return files.mapInPandas(run, schema)

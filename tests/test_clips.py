@@ -156,10 +156,24 @@ def test_runs(spark, folder, tmp_path):
         registry.run_or_load(spark, root, "catalog", None, lambda: None, False)
 
 
+def test_augmented_library(spark, folder, described, tmp_path):
+    from dataclasses import replace
+
+    accepted, _ = pipeline.split_outcome(described)
+    made = pipeline.augment_library(
+        spark, accepted, str(tmp_path / "more"), str(folder), settings=replace(pipeline.DEFAULT, min_per_class=5), root=str(folder)
+    )
+    counts = {r.label: r["count"] for r in made.groupBy("label").count().collect()}
+    assert counts == {"kick": 4, "snare": 3, "tom": 4}
+    names = [r.new_name for r in made.collect()]
+    assert len(set(names)) == 11 and any(n.endswith("_Kicks__deep.wav") for n in names)
+    assert made.where("method = 'stretch' and size(x) = 0").count() == 0
+
+
 def test_keyed_scan(spark, folder):
     want = [("0", f"{folder}/Kicks/deep.wav"), ("1", f"{folder}/none.wav")]
     got = library.scan_keyed(spark, spark.createDataFrame(want, "key string, path string"), str(folder))
-    rows = {r.key: r.content is not None for r in got.collect()}
+    rows = {r.key: r.length is not None for r in got.collect()}
     assert rows == {"0": True, "1": False}
     one = library.scan_library(spark, f"{folder}/Kicks/deep.wav")
     assert one.count() == 1
