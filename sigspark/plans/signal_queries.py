@@ -164,9 +164,10 @@ def q_feature_vector(spark, d):
 
 
 @query(f"""WITH {SIG}
-SELECT signal_id, pos, round(x / max(abs(x)) OVER (PARTITION BY signal_id), 6) AS y FROM sig""")
+SELECT signal_id, pos, x / max(abs(x)) OVER (PARTITION BY signal_id) AS y FROM sig""")
 def q_peak_normalise(spark, d):
-    return rounded(series.peak_normalise(sig_events(spark, d)).select(KEY, "pos", "y"))
+    # one division of stored values: equal to the last bit, so nothing is rounded
+    return series.peak_normalise(sig_events(spark, d)).select(KEY, "pos", "y")
 
 
 @query(f"""WITH {SIG}, k AS (SELECT *, count(*) OVER (PARTITION BY signal_id) AS n FROM sig)
