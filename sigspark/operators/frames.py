@@ -52,9 +52,14 @@ def describe_arrays(packed: DataFrame, size: int | None = None) -> DataFrame:
         (F.sum("s") / F.sum("n")).alias("level"), (F.max("frame_idx") + 1).alias("n_frames")
     )
     known = attach(packed, levels, [KEY], "frame_idx", "n_frames", size)
-    level = F.transform("frame", lambda v: v - F.col("level"))
+    known = known.withColumn("y", F.transform("frame", lambda v: v - F.col("level")))
     return known.select(
-        KEY, "frame_idx", "n", array_rms(F.col("frame")).alias("rms"), array_rms(level).alias("rms_centred"), array_zcr(level).alias("zcr")
+        KEY,
+        "frame_idx",
+        "n",
+        array_rms(F.col("frame")).alias("rms"),
+        array_rms(F.col("y")).alias("rms_centred"),
+        array_zcr(F.col("y")).alias("zcr"),
     )
 
 

@@ -176,14 +176,17 @@ def attach(series: DataFrame, per_key: DataFrame, keys: list[str], idx: str, len
 
 
 def running_sum(df: DataFrame, keys: list[str], idx: str, values: dict[str, str], size: int | None = None) -> DataFrame:
-    """Running sums over a whole series: inside chunks, plus earlier chunk totals."""
-    cut = chunked(df, idx, size)
-    totals = cut.groupBy(*keys, "_chunk").agg(*[F.sum(src).alias(f"_t_{out}") for out, src in values.items()])
+    """Running sums over a whole series: inside chunks, plus earlier chunk totals.
+
+    The totals are made from the windowed chunks, so both sides of the join
+    start at the same exchange and the rows before it are computed once.
+    """
+    w = Window.partitionBy(*keys, "_chunk").orderBy(idx).rowsBetween(Window.unboundedPreceding, 0)
+    local = chunked(df, idx, size).withColumns({out: F.sum(src).over(w) for out, src in values.items()})
+    totals = local.groupBy(*keys, "_chunk").agg(*[F.max_by(out, idx).alias(f"_t_{out}") for out in values])
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(
         *keys, "_chunk", *[F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0.0)).alias(f"_b_{o}") for o in values]
     )
-    w = Window.partitionBy(*keys, "_chunk").orderBy(idx).rowsBetween(Window.unboundedPreceding, 0)
-    joined = cut.join(carried, [*keys, "_chunk"])
-    sums = {out: F.sum(src).over(w) + F.col(f"_b_{out}") for out, src in values.items()}
-    return joined.withColumns(sums).drop("_chunk", *[f"_b_{o}" for o in values])
+    joined = local.join(carried, [*keys, "_chunk"])
+    return joined.withColumns({o: F.col(o) + F.col(f"_b_{o}") for o in values}).drop("_chunk", *[f"_b_{o}" for o in values])

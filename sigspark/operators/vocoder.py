@@ -1,7 +1,7 @@
 """Time stretch and pitch shift of long signals as table work.
 
 Frames, bins and steps are rows, so one signal is spread over many tasks:
-neighbour frames meet by an equi-join, phases are chunk-wise running sums,
+neighbour frames meet in windows over chunks, phases are chunk-wise running sums,
 and the output is an overlap-add by (signal, pos).
 """
 
@@ -11,10 +11,11 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sigspark.functions.arrays import dft, hann, lit_array, lit_matrix
 from sigspark.operators.frames import KEY, frame_arrays
-from sigspark.operators.segments import attach, running_sum
+from sigspark.operators.segments import attach, running_sum, with_halo
 from sigspark.operators.series import lengths, resample_linear
 
 
@@ -50,9 +51,10 @@ def time_stretch(points: DataFrame, rate: float, length: int = 8, size: int | No
     re, im = dft(F.col("frame"), length)
     polar = lambda a, b: F.struct(F.sqrt(a * a + b * b).alias("mag"), F.atan2(b, a).alias("angle"))
     spectra = packed.select(KEY, "frame_idx", F.zip_with(F.array(*re), F.array(*im), polar).alias("spec"))
-    after = spectra.select(KEY, (F.col("frame_idx") - 1).alias("frame_idx"), F.col("spec").alias("spec_next"))
     silent = F.transform("spec", lambda s: F.struct(F.lit(0.0).alias("mag"), F.lit(0.0).alias("angle")))
-    pairs = spectra.join(after, [KEY, "frame_idx"], "left").withColumn("spec_next", F.coalesce("spec_next", silent))
+    w = Window.partitionBy(KEY, "_chunk").orderBy("frame_idx")
+    pairs = with_halo(spectra, "frame_idx", 0, 1, size).withColumn("spec_next", F.lead("spec").over(w))
+    pairs = pairs.where("_home").drop("_chunk", "_home").withColumn("spec_next", F.coalesce("spec_next", silent))
     first = F.ceil(F.col("frame_idx") / rate)
     last = F.ceil((F.col("frame_idx") + 1) / rate) - 1
     wanted = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))

@@ -1,7 +1,10 @@
 """Registered queries and the end-to-end pipeline."""
 
+import functools
 import importlib
 
+from sigspark.session import ship
+
 MODULES = ("signal_queries", "table_queries", "model_queries")
 
 
@@ -13,8 +16,17 @@ def _load():
     return book
 
 
+def _on_workers(fn):
+    @functools.wraps(fn)
+    def run(spark, sf_dir):
+        ship(spark)
+        return fn(spark, sf_dir)
+
+    return run
+
+
 def all_queries() -> dict:
-    return dict(_load().QUERIES)
+    return {name: _on_workers(fn) for name, fn in _load().QUERIES.items()}
 
 
 def all_sql() -> dict:

@@ -12,6 +12,7 @@ from sigspark.functions.summaries import summaries
 from sigspark.operators import catalog, features, frames, onsets, series
 from sigspark.operators.frames import KEY
 from sigspark.plans.book import query, rounded
+from sigspark.session import stored
 from sigspark.sources.adapters import read, sig_events
 
 FRAME = 8
@@ -157,7 +158,8 @@ SELECT ev.signal_id, {ENV_COLUMNS}, round(crest_factor, 6) AS crest_factor,
   round(za, 6) AS zcr_avg, round(zi, 6) AS zcr_min, round(zm, 6) AS zcr_max, round(zs, 6) AS zcr_std, round(zl, 6) AS zcr_loudest
 FROM ev LEFT JOIN r USING (signal_id) LEFT JOIN g USING (signal_id) LEFT JOIN zz USING (signal_id)""")
 def q_feature_vector(spark, d):
-    table = frames.describe_arrays(frames.frame_arrays(sig_events(spark, d), FRAME)).drop("rms_centred")
+    # the frame table is what everything after reads: written once, a few numbers per frame
+    table = stored(frames.describe_arrays(frames.frame_arrays(sig_events(spark, d), FRAME)).drop("rms_centred"), "frames")
     valid = frames.ranked(frames.valid_frames(table, LOUD), bounded=False)
     made = features.summary_features(valid, ("rms", "zcr"))
     return rounded(features.envelope(table, 1.0, LOUD_SHARE).join(made, KEY, "left"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,7 +27,26 @@ def get_spark(app: str = "sigspark", master: str | None = None, **conf) -> Spark
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the workers this package, once per session, wherever the driver was started."""
+    context = spark.sparkContext
+    if getattr(context, "_sigspark_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="sigspark-package-"), "sigspark.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("sigspark", os.path.relpath(path, package)))
+    context.addPyFile(archive)
+    context._sigspark_shipped = True
 
 
 def shared_dir(spark: SparkSession) -> str:
