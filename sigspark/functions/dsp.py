@@ -112,12 +112,24 @@ def zero_crossings(x: np.ndarray, length: int, hop: int) -> np.ndarray:
 
 
 def onset_flux(x: np.ndarray, rate: int, length: int, hop: int, bands: int) -> np.ndarray:
-    """Mean positive rise of the mel bands in dB from frame to frame."""
+    """Mean positive rise of the mel bands in dB from frame to frame.
+
+    Short signals keep their bands; long recordings are transformed twice, once
+    for the loudest band value and once for the rises, so memory stays bounded.
+    """
     weights = mel_matrix(bands, length // 2 + 1, rate).T
-    power = np.concatenate([mag**2 @ weights for mag in spectra(x, length, hop)])
-    db = 10 * np.log10(np.maximum(power, TINY))
-    db = np.maximum(db, db.max() - 80)
-    return np.concatenate([[0.0], np.maximum(np.diff(db, axis=0), 0).mean(1)])
+
+    def in_db():
+        return (10 * np.log10(np.maximum(mag**2 @ weights, TINY)) for mag in spectra(x, length, hop))
+
+    short = list(in_db()) if len(x) // hop < BLOCK_FRAMES else None
+    floor = max(db.max() for db in short or in_db()) - 80
+    rises, last = [], None
+    for db in short or in_db():
+        db = np.maximum(db, floor)
+        rises.append(np.maximum(np.diff(db, axis=0, prepend=db[:1] if last is None else last), 0).mean(1))
+        last = db[-1:]
+    return np.concatenate(rises)
 
 
 def stretch(x: np.ndarray, rate: float, length: int = 2048) -> np.ndarray:

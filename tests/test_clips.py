@@ -98,6 +98,13 @@ def test_frame_series_match_plain_maths():
     assert np.allclose(dsp.zero_crossings(x, n, hop), z)
 
 
+def test_long_recordings_in_blocks(monkeypatch):
+    x = noise(3, seconds=1.0)
+    whole = dsp.onset_flux(x, RATE, 2048, 110, 128)
+    monkeypatch.setattr(dsp, "BLOCK_FRAMES", 13)
+    assert np.allclose(dsp.onset_flux(x, RATE, 2048, 110, 128), whole)
+
+
 @pytest.mark.parametrize("width", [1, 2, 3])
 def test_decode_widths(width):
     x = tone(440, 0.1, fade=False)
