@@ -29,7 +29,12 @@ from pyspark.sql import functions as F
 from sigspark.llm.common import maybe_in, text_of
 from sigspark.session import scratch_path, stored
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # many small stores: no log files of 64 MB laid out in advance for each
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
+}
 RESULT = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
 
 
@@ -59,7 +64,8 @@ def best_row() -> Column:
 def run_stream(spark: SparkSession, source: str, state: str, files_per_batch: int = 1000) -> None:
     """Take the fingerprints in ``source`` that the state in ``state`` hasn't seen into it."""
     session = spark.newSession()
-    session.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    for key, value in STATE.items():
+        session.conf.set(key, value)
     schema = spark.read.parquet(source).schema
     query = (
         session.readStream.schema(schema)

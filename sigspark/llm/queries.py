@@ -5,14 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sigspark.llm import exact_dedup, near_dedup
+from sigspark.llm import chat, exact_dedup, near_dedup, packing, quality, secrets
 from sigspark.llm.common import table
 
+BPE = "byte_bpe_50k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(sql: str | None = None):
     def add(fn):
         QUERIES[fn.__name__] = fn
@@ -74,3 +84,56 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates on shingles of four words at similarity 0.8."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=4, threshold=80)
+
+
+@query()
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and random spans of every text."""
+    return secrets.secrets(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer(BPE))
+
+
+@query(
+    r"""
+    WITH c AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+      UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+    r AS (
+      SELECT *, 12 + length(replace(replace(role, '%', '%25'), chr(10), '%0A')) + 1 + length(text)
+             + len(regexp_extract_all(text, '<\\*\|')) + 10 + 1 AS chars,
+             row_number() OVER w AS pos, count(*) OVER (PARTITION BY conv_id) AS n
+      FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+    s AS (
+      SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY pos) AS upto FROM r)
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(upto) FILTER (role = 'assistant' OR pos = n) AS BIGINT) AS formatted_chars
+    FROM s GROUP BY conv_id
+    """
+)
+def op8_chat_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix-target examples of every conversation, read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "<|im_end|><|im_start|>assistant ok"
+    more = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(probe).alias("text"),
+    )
+    return chat.read_back(chat.examples(rows.unionByName(more)))
+
+
+@query()
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.scores(docs, quality.train(docs, table(spark, sf_dir, "labels")))
