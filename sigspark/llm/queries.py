@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigspark.llm import chat, exact_dedup, near_dedup, packing, quality, secrets
+from sigspark.llm import chat, exact_dedup, lm_score, near_dedup, packing, quality, secrets, warc
 from sigspark.llm.common import table
 
 BPE = "byte_bpe_50k.json"
@@ -137,3 +137,27 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quality score for every document."""
     docs = table(spark, sf_dir, "documents")
     return quality.scores(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query(
+    r"""
+    WITH p AS (
+      SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS size FROM pages),
+    g AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS largest FROM p)
+    SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+           CASE WHEN size >= 1000 AND page_id < largest THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN size >= 1000 AND page_id < largest THEN largest END AS refers_to
+    FROM g
+    """
+)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC records in ZIP packages and read back by ranges."""
+    read = warc.round_trip(table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored against the documents labelled good, with all documents as background."""
+    good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return lm_score.cross_entropy_difference(table(spark, sf_dir, "documents"), good)

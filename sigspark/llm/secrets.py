@@ -72,10 +72,11 @@ def with_matches(rows: DataFrame, text: Column, pattern: str, name: str) -> Data
     found = F.when(some, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
     gaps = F.when(some, F.transform(F.split(text, pattern, -1), lambda g: F.length(g).cast("long"))).otherwise(F.array().cast("array<bigint>"))
     rows = rows.withColumn("__found", found).withColumn("__gaps", F.slice(gaps, F.lit(1), F.size("__found")))
-    rows = rows.withColumn("__before", running_sums(F.zip_with("__gaps", "__found", lambda g, m: g + F.length(m))))
+    rows = rows.withColumn("__steps", F.zip_with("__gaps", "__found", lambda g, m: g + F.length(m)))
+    rows = rows.withColumn("__before", running_sums(F.col("__steps")))
     starts = F.zip_with("__before", "__gaps", lambda b, g: b + g)
     spans = F.zip_with(starts, "__found", lambda s, m: F.struct(s.alias("start"), (s + F.length(m)).alias("end"), m.alias("value")))
-    return rows.withColumn(name, spans).drop("__found", "__gaps", "__before")
+    return rows.withColumn(name, spans).drop("__found", "__gaps", "__steps", "__before")
 
 
 def with_base(rows: DataFrame, text: Column) -> DataFrame:
