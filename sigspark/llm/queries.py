@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigspark.llm import chat, exact_dedup, lm_score, near_dedup, packing, quality, secrets, warc
+from sigspark.llm import chat, exact_dedup, lm_score, near_dedup, neighbours, packing, quality, secrets, warc
 from sigspark.llm.common import table
 
 BPE = "byte_bpe_50k.json"
@@ -161,3 +161,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scored against the documents labelled good, with all documents as background."""
     good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
     return lm_score.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+
+
+@query()
+def op4_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors of every row whose vec_id is divisible by 50, among all rows."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 50 = 0"))
