@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigspark.llm import chat, exact_dedup, lm_score, near_dedup, neighbours, packing, quality, secrets, warc
-from sigspark.llm.common import table
+from sigspark.llm import chat, exact_dedup, lm_score, near_dedup, neighbours, packing, quality, secrets, sentencepiece_codec, warc
+from sigspark.llm.common import table, text_of
 
-BPE = "byte_bpe_50k.json"
+BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -33,6 +33,16 @@ def query(sql: str | None = None):
     return add
 
 
+@query()
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and whether decoding them gives the text back."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text", F.sha2(text_of(), 256).alias("text_sha256"))
+    path = tokenizer(PIECES)
+    found = sentencepiece_codec.decode(sentencepiece_codec.encode(rows, path, ("doc_id", "text_sha256")), path)
+    same = F.sha2("text", 256) == F.col("text_sha256")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "text_sha256", same.alias("round_trip"))
+
+
 @query(
     r"""
     WITH n AS (
