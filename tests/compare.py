@@ -62,7 +62,7 @@ if __name__ == "__main__":
     from sigspark.session import get_spark
 
     sf = os.environ.get("SF", "/root/testdata/sf0.01")
-    spark = get_spark("compare", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="8g")
+    spark = get_spark("compare", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf)
     con.execute("SET TimeZone='UTC'")
