@@ -12,8 +12,8 @@ model of random strings exceeds that under one of ordinary identifiers by MARGIN
 
 The models are trained from labelled samples (``text``, ``label``: 1 random, 0
 ordinary). ``corpus_samples`` labels values found by the base patterns and
-digests of a range of numbers 1, and words of the corpus and the names of Spark's
-functions 0; it reads about TRAIN_DOCS documents picked by a hash of doc_id.
+digests of a range of numbers 1, and words of the corpus and the names and
+descriptions of Spark's functions and settings 0; it reads about TRAIN_DOCS documents picked by a hash of doc_id.
 Everything else reads every row and the whole text. All of it is DataFrame
 functions: the model reaches the tasks as a constant array of
 len(ALPHABET)**2 numbers.
@@ -44,6 +44,8 @@ RUN = 20
 #: Log odds against a run being a secret, before its characters are seen.
 MARGIN = 9.2
 TRAIN_DOCS = 4000
+#: How often each English identifier counts, against the words of the corpus.
+NAME_WEIGHT = 10
 MASK = "[SECRET]"
 SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
 
@@ -101,7 +103,12 @@ def corpus_samples(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     secrets_seen = found.select(F.explode(values).alias("text"), F.lit(1).alias("label"))
     plain = found.filter((F.size("__assign") == 0) & (F.size("__access") == 0) & (F.size("__hex") == 0))
     words = plain.select(F.explode(F.regexp_extract_all("__text", F.lit("[A-Za-z_-]{4,}"), F.lit(0))).alias("text"), F.lit(0).alias("label"))
-    names = spark.sql("SHOW FUNCTIONS").select(F.col("function").alias("text"), F.lit(0).alias("label"))
+    # English identifiers: names of functions, parts of setting names, and the settings' descriptions joined in four ways
+    said = spark.sql("SET -v").select("key", F.regexp_replace("meaning", "[^A-Za-z]+", " ").alias("meaning"))
+    joined = [F.replace("meaning", F.lit(" "), F.lit(c)) for c in "_-/"] + [F.replace(F.initcap("meaning"), F.lit(" "), F.lit(""))]
+    names = spark.sql("SHOW FUNCTIONS").select(F.col("function").alias("text"))
+    names = names.union(said.select(F.explode(F.split("key", r"\.")))).union(said.select(F.explode(F.array(*joined))))
+    names = names.select("text", F.lit(0).alias("label"), F.explode(F.sequence(F.lit(1), F.lit(NAME_WEIGHT)))).select("text", "label")
     digest = F.sha2(F.col("id").cast("string"), 256)
     made = spark.range(4096).select(
         F.explode(F.array(F.base64(F.unhex(digest)), F.substring(digest, 1, 40), F.upper(F.substring(digest, 1, 32)))).alias("text"), F.lit(1).alias("label")
