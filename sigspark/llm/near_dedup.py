@@ -12,10 +12,13 @@ sequence is the one shingle). Documents are linked when
 3. BANDS bands of ROWS minima. In a bucket, every member is compared with the
    bucket's least member only: first by the signatures, then on the full
    sets. Components of these links come from large-star and small-star.
-4. Buckets that still span several components are finished exactly: members
-   outside the bucket's largest component are compared with all members of
-   other components, in blocks, so that no link between different texts is
-   lost and no group emits all its pairs. Components are then computed again.
+4. Buckets of one least member are taken together; where they still span several
+   components, they are finished exactly. Their members' full sets are dealt in
+   blocks of about BLOCK shingles; inside a task, members outside the largest
+   component are compared with all others by an inverted index, and only links
+   that join components not joined yet are returned. So no link between
+   different texts that matters is lost, and no group emits its pairs.
+   Components are then computed again.
 
 With 40 bands of 5 rows a pair at similarity 0.8 shares no band with
 probability (1 - 0.8**5)**40 = 1.3e-7; a signature estimate falls MARGIN (0.15,
@@ -45,8 +48,8 @@ from sigspark.session import stored
 BANDS, ROWS = 40, 5
 HASHES = BANDS * ROWS
 MARGIN = 0.15
-#: Members of a bucket that one block of the finishing pass holds.
-BLOCK = 256
+#: Shingles that one block of the finishing pass holds.
+BLOCK = 400_000
 _RANDOM = np.random.default_rng(20240229)
 _A = _RANDOM.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RANDOM.integers(0, 2**63, HASHES, dtype=np.uint64)
@@ -131,19 +134,28 @@ def sizes_fit(a: Column, b: Column, threshold: int) -> Column:
 
 def likely(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
     """Pairs (a, b) whose signatures don't rule the similarity out."""
+    wanted = nodes_in(pairs)
+    nodes = stored(maybe_in(nodes.select("node", "n_shingles", "signature"), "node", wanted, "node"), "signatures")
     one = nodes.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("signature").alias("sa"))
     two = nodes.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("signature").alias("sb"))
     both = pairs.join(one, "a").join(two, "b").filter(sizes_fit(F.col("na"), F.col("nb"), threshold))
     return both.filter(estimate("sa", "sb") >= threshold / 100 - MARGIN).select("a", "b")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int, threshold: int) -> DataFrame:
-    """Pairs (a, b) that reach the similarity on their full sets."""
-    pairs = stored(pairs, "likely-pairs")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+def sets_of(wanted: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """doc_id and shingles of the documents in ``wanted`` (distinct node)."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    texts = maybe_in(source, "doc_id", wanted, "node").join(wanted, F.col("doc_id") == F.col("node"), "left_semi")
-    sets = stored(full_sets(texts, words), "shingle-sets")
+    # an inner join: a semi-join would be moved below the filter
+    texts = maybe_in(source, "doc_id", wanted, "node").join(wanted, F.col("doc_id") == F.col("node"))
+    return stored(full_sets(texts, words), "shingle-sets")
+
+
+def nodes_in(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) that reach the similarity on their full sets."""
     one = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(one, "a").join(two, "b").withColumn("both", F.size(F.array_intersect("sa", "sb")))
@@ -157,36 +169,82 @@ def band_rows(nodes: DataFrame) -> DataFrame:
     return nodes.select(F.explode(F.array(*keys)).alias("key"), "node")
 
 
-def unfinished_pairs(bands: DataFrame, buckets: DataFrame, labels: DataFrame, sizes: DataFrame, threshold: int) -> DataFrame:
-    """Pairs of a bucket's members in different components, but those with its least member.
+def spread_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(first, node, component, main) of the groups of ``members`` (first, node) in several components.
 
-    ``labels`` has the component of linked nodes. Members of the largest
-    component of a bucket only meet the others; both sides are dealt in blocks.
+    ``labels`` has the component of linked nodes; main is the largest one of a group.
     """
-    large = buckets.filter("members > 2").select("key", "first")
-    members = bands.join(large, "key").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")).join(sizes, "node")
-    members = stored(members.select("key", "node", "first", "component", "n_shingles"), "members")
-    per = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    spread = per.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("members"), F.max(F.struct("n", "component")).alias("main"))
-    spread = spread.filter("parts > 1").select("key", F.col("main.component").alias("main"), "members", (F.col("members") - F.col("main.n")).alias("others"))
-    rest = members.join(spread, "key").filter(F.col("node") != F.col("first"))
-    left_blocks, right_blocks = F.ceil(F.col("others") / BLOCK), F.ceil(F.col("members") / BLOCK)
-    spot = F.xxhash64("node")
-    left = (
-        rest.filter(F.col("component") != F.col("main"))
-        .withColumn("i", F.pmod(spot, left_blocks).cast("int"))
-        .withColumn("j", F.explode(F.sequence(F.lit(0), (right_blocks - 1).cast("int"))))
-        .select("key", "i", "j", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("n_shingles").alias("nx"))
-    )
-    right = (
-        rest.withColumn("j", F.pmod(spot, right_blocks).cast("int"))
-        .withColumn("i", F.explode(F.sequence(F.lit(0), (left_blocks - 1).cast("int"))))
-        .select("key", "i", "j", F.col("node").alias("y"), (F.col("component") == F.col("main")).alias("main"), F.col("component").alias("cy"), F.col("n_shingles").alias("ny"))
-    )
-    meet = left.join(right, ["key", "i", "j"]).filter(
-        (F.col("cx") != F.col("cy")) & (F.col("main") | (F.col("x") < F.col("y"))) & sizes_fit(F.col("nx"), F.col("ny"), threshold)
-    )
-    return meet.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    placed = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = stored(placed.select("first", "node", "component"), "members")
+    per = placed.groupBy("first", "component").agg(F.count(F.lit(1)).alias("n"))
+    spread = per.groupBy("first").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("members"), F.max(F.struct("n", "component")).alias("most"))
+    # of two members the star has compared the only pair
+    return placed.join(spread.filter("parts > 1 AND members > 2").select("first", F.col("most.component").alias("main")), "first")
+
+
+def joining_links(members: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links (a, b) that join components inside the groups of ``members``.
+
+    A group's members are dealt to blocks, and every pair of blocks is one cell.
+    """
+    sized = members.join(sets.select(F.col("doc_id").alias("node"), "shingles"), "node")
+    blocks = sized.groupBy("first").agg(F.ceil(F.sum(F.size("shingles").cast("long")) / BLOCK).cast("int").alias("blocks"))
+    dealt = sized.join(blocks, "first").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    cells = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = cells.withColumn("p", F.least("block", "other")).withColumn("q", F.greatest("block", "other"))
+
+    def compare(cell: pa.Table) -> pa.Table:
+        return pa.table(dict(zip("ab", joins(cell, threshold), strict=True)))
+
+    narrow = cells.select("first", "p", "q", "block", "node", "component", (F.col("component") == F.col("main")).alias("in_main"), "shingles")
+    return narrow.groupBy("first", "p", "q").applyInArrow(compare, "a long, b long")
+
+
+def joins(cell: pa.Table, threshold: int) -> tuple[pa.Array, pa.Array]:
+    """Links of a cell that join components, by an inverted index over its sets."""
+    cell = cell.combine_chunks().sort_by("node")
+    node, component, block = (cell.column(c).to_numpy() for c in ("node", "component", "block"))
+    in_main = cell.column("in_main").to_numpy(zero_copy_only=False)
+    lists = cell.column("shingles").combine_chunks()
+    sizes = np.diff(np.asarray(lists.offsets)).astype(np.int64)
+    shingle = np.unique(lists.flatten().to_numpy(zero_copy_only=False), return_inverse=True)[1]
+    owner = np.repeat(np.arange(len(node)), sizes)
+    order = np.argsort(shingle, kind="stable")
+    holders, held = owner[order], np.bincount(shingle)
+    begins, starts = np.cumsum(held) - held, np.cumsum(sizes) - sizes
+    two_blocks = block.min() != block.max()
+    root: dict[int, int] = {}
+
+    def find(c: int) -> int:
+        while root.setdefault(c, c) != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    links: list[tuple[int, int]] = []
+    for x in np.nonzero(~in_main)[0]:
+        own = shingle[starts[x] : starts[x] + sizes[x]]
+        own = own[held[own] > 1]
+        if len(own) * 100 < sizes[x] * threshold:
+            continue  # too few of its shingles occur elsewhere
+        met = np.concatenate([holders[b : b + n] for b, n in zip(begins[own], held[own], strict=True)])
+        both = np.bincount(met, minlength=len(node))
+        near = (both * 100 >= (sizes + sizes[x] - both) * threshold) & (component != component[x])
+        if two_blocks:
+            near &= block != block[x]
+        where = np.nonzero(near)[0]
+        for y in where[np.unique(component[where], return_index=True)[1]]:  # one member of each component
+            one, two = find(int(component[x])), find(int(component[y]))
+            if one != two:
+                root[one] = two
+                links.append((int(node[x]), int(node[y])))
+    return pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())
+
+
+def joined_components(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Components once more, from the stars found so far and further links (a, b)."""
+    stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return stored(components(stars.union(links), "a", "b"), "components")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80) -> DataFrame:
@@ -200,14 +258,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80) -> Dat
     )
     bands = band_rows(nodes)
     buckets = stored(bands.groupBy("key").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("members")).filter("members > 1"), "buckets")
-    stars = bands.join(buckets, "key").filter(F.col("node") != F.col("first")).select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    links = stored(confirmed(likely(stars, nodes, threshold), docs, words, threshold), "links")
+    shared = maybe_in(bands, "key", buckets, "key").join(buckets, "key")
+    members = stored(shared.select("first", "node").distinct(), "bucket-members")
+    stars = members.filter(F.col("node") != F.col("first")).select(F.col("first").alias("a"), F.col("node").alias("b"))
+    pairs = stored(likely(stars, nodes, threshold), "likely-pairs")
+    links = stored(confirmed(pairs, sets_of(nodes_in(pairs), docs, words), threshold), "links")
     labels = stored(components(links, "a", "b"), "components")
-    sizes = nodes.select("node", "n_shingles")
-    rest = unfinished_pairs(bands, buckets, labels, sizes, threshold)
-    more = stored(confirmed(likely(rest, nodes, threshold), docs, words, threshold), "more-links")
-    if not more.isEmpty():
-        labels = stored(components(links.union(more), "a", "b"), "components")
+    apart = stored(spread_members(members, labels), "spread")
+    if not apart.isEmpty():
+        sets = sets_of(apart.select("node").distinct(), docs, words)
+        more = stored(joining_links(apart, sets, threshold), "more-links")
+        if not more.isEmpty():
+            labels = joined_components(labels, more)
     classes = nodes.select("digest", "node").join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
     found = rows.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
     own = F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))

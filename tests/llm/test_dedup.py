@@ -129,9 +129,9 @@ def test_near_groups(spark):
 
 
 def test_near_finishes_buckets_of_several_components(spark, monkeypatch):
-    """With one band row and tiny blocks buckets hold many unlike documents."""
-    monkeypatch.setattr(near_dedup, "BLOCK", 4)
-    monkeypatch.setattr(near_dedup, "BANDS", 60)
+    """With one row a band and small blocks, buckets hold many unlike documents and have many cells."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 1000)
+    monkeypatch.setattr(near_dedup, "BANDS", 40)
     monkeypatch.setattr(near_dedup, "ROWS", 1)
     rows = near_rows()
     got = near_dedup.near_duplicates(frame(spark, rows), words=4)
