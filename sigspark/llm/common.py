@@ -59,7 +59,7 @@ def map_texts(rows: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], s
 class WordHashes(dict):
     """64-bit hash of a word (bytes), remembered for up to ``limit`` words."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 100_000):
         super().__init__()
         self.limit = limit
 

@@ -39,7 +39,7 @@ CLOSING = 0
 OPEN = 512
 PART = 250_000
 #: Chunks of text whose ids a worker remembers, twice at most.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 class OddSpace(Exception):
     """A chunk that doesn't begin and end with visible characters."""
 
@@ -78,12 +78,14 @@ class Encoder:
         if not self.agree:
             return self.own.encode(text, add_special_tokens=False).ids
         found = self.fast.encode_ordinary(text)
-        if self.tested < 1000:
+        if self.own is not None:
             self.tested += 1
             own = self.own.encode(text, add_special_tokens=False).ids
             if own != found:
                 self.agree, self.young, self.old = False, {}, {}
                 return own
+            if self.tested >= 1000:
+                self.own = None  # its memory is given back
         return found
 
     def chunk(self, chunk: str) -> bytes:

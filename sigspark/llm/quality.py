@@ -36,8 +36,8 @@ PASSAGE = 64
 THRESHOLD = 0.3
 ENCODED, GATE = 32, 16
 EPOCHS, BATCH, RATE, DECAY = 30, 64, 0.003, 1e-4
-#: Bytes described at a time.
-WINDOW = 4 << 20
+#: Bytes and documents described at a time; several arrays of eight bytes for each byte are held.
+WINDOW, GROUP = 1 << 19, 256
 
 
 def _classes() -> tuple[np.ndarray, np.ndarray, int]:
@@ -194,18 +194,16 @@ def fit(f: np.ndarray, per: np.ndarray, y: np.ndarray, seed: int = 7) -> dict:
 
 
 def score(model: dict, texts: list[bytes]) -> np.ndarray:
-    if "constant" in model:
-        return np.full(len(texts), model["constant"])
+    if "constant" in model or not texts:
+        return np.full(len(texts), model.get("constant", 0.5))
     f, per = describe(texts)
-    out = np.empty(len(texts))
-    ends = np.cumsum(per)
-    at = 0
-    while at < len(texts):  # a bounded number of passages at a time
-        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 20_000)))
-        rows = slice(ends[at - 1] if at else 0, ends[to - 1])
-        out[at:to] = forward(model, f[rows], per[at:to])["p"]
-        at = to
-    return out
+    return forward(model, f, per)["p"]
+
+
+def batch_scores(model: dict, batch: pa.RecordBatch) -> np.ndarray:
+    """Scores of a batch's texts, GROUP documents at a time."""
+    parts = [score(model, list(encoded(batch.slice(i, GROUP), "text"))) for i in range(0, batch.num_rows, GROUP)]
+    return np.concatenate(parts) if parts else np.zeros(0)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -220,12 +218,11 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> d
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id")).select("doc_id", "__y", "text")
 
     def features(batch: pa.RecordBatch) -> pa.RecordBatch:
-        f, per = describe(list(encoded(batch, "text")))
-        ends = np.cumsum(per)
-        return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("__y").cast(pa.int32()), pa.array([f[e - n : e].tobytes() for e, n in zip(ends, per, strict=True)], pa.binary())],
-            ["doc_id", "y", "features"],
-        )
+        found = []
+        for i in range(0, batch.num_rows, GROUP):
+            f, per = describe(list(encoded(batch.slice(i, GROUP), "text")))
+            found += [f[e - n : e].tobytes() for e, n in zip(np.cumsum(per), per, strict=True)]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("__y").cast(pa.int32()), pa.array(found, pa.binary())], ["doc_id", "y", "features"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [(i, y, f) for b in batches for i, y, f in zip(b.column("doc_id").to_pylist(), b.column("y").to_pylist(), b.column("features").to_pylist(), strict=True)]
@@ -243,7 +240,7 @@ def scores(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id, held_out, score, predicted; a row per document."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score(model, list(encoded(batch, "text"))), pa.float64())], ["doc_id", "score"])
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(batch_scores(model, batch), pa.float64())], ["doc_id", "score"])
 
     out = map_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, score double")
     return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
@@ -253,6 +250,6 @@ def accepted(docs: DataFrame, model: dict) -> DataFrame:
     """The documents predicted to be good, with all their columns."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return batch.filter(pa.array(score(model, list(encoded(batch, "text"))) >= THRESHOLD))
+        return batch.filter(pa.array(batch_scores(model, batch) >= THRESHOLD))
 
     return docs.mapInArrow(lambda batches: (run(b) for b in batches if b.num_rows), docs.schema)

@@ -45,8 +45,8 @@ from sigspark.llm.common import map_texts
 SPACE = "▁"
 UNKNOWN_SURFACE = " ⁇ "
 #: Words of a worker whose ids are remembered, twice at most; (word, position, length) cells advanced at once.
-REMEMBERED = 200_000
-CELLS = 1 << 21
+REMEMBERED = 100_000
+CELLS = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
