@@ -64,7 +64,8 @@ def best_row() -> Column:
 def run_stream(spark: SparkSession, source: str, state: str, files_per_batch: int = 1000) -> None:
     """Take the fingerprints in ``source`` that the state in ``state`` hasn't seen into it."""
     session = spark.newSession()
-    for key, value in STATE.items():
+    partitions = "spark.sql.shuffle.partitions"
+    for key, value in (STATE | {partitions: spark.conf.get(partitions)}).items():
         session.conf.set(key, value)
     schema = spark.read.parquet(source).schema
     query = (
