@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Bits of the set that ``maybe_in`` broadcasts: 8 MiB, whatever the input.
 SET_BITS = 26
+#: Rows of an Arrow batch that holds texts.
+ARROW_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +47,18 @@ def maybe_in(rows: DataFrame, column: str, keys: DataFrame, key: str) -> DataFra
     return joined.filter(hit).select(*[joined[c] for c in rows.columns])
 
 
+def small_batches(rows: DataFrame) -> DataFrame:
+    """``rows``, in a session whose Arrow batches hold at most ARROW_ROWS rows.
+
+    The default of 10,000 rows is made for numbers: of long texts it is hundreds of
+    megabytes, in the executor and again in its Python worker. The setting stays.
+    """
+    conf, key = rows.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= ARROW_ROWS:
+        conf.set(key, str(ARROW_ROWS))
+    return rows
+
+
 def map_texts(rows: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """``fn`` over every Arrow batch of ``rows``."""
 
@@ -53,7 +67,7 @@ def map_texts(rows: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], s
             if batch.num_rows:
                 yield fn(batch)
 
-    return rows.mapInArrow(run, schema)
+    return small_batches(rows).mapInArrow(run, schema)
 
 
 class WordHashes(dict):

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigspark.llm.common import WordHashes, encoded, map_texts
+from sigspark.llm.common import WordHashes, encoded, map_texts, small_batches
 
 WORD_SLOTS, PAIR_SLOTS = 1 << 18, 1 << 20
 PRIOR = 4.0
@@ -78,7 +78,7 @@ def counts(rows: DataFrame) -> DataFrame:
             part = held[i : i + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[0][part]), pa.array(total[1][part])], ["slot", "background", "target"])
 
-    found = rows.select("text", "target").mapInArrow(run, "slot int, background long, target long")
+    found = small_batches(rows.select("text", "target")).mapInArrow(run, "slot int, background long, target long")
     return found.groupBy("slot").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
 
 

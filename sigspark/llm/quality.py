@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sigspark.llm.common import encoded, map_texts
+from sigspark.llm.common import encoded, map_texts, small_batches
 
 TRAIN_DOCS = 6000
 PASSAGE = 64
@@ -252,4 +252,4 @@ def accepted(docs: DataFrame, model: dict) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         return batch.filter(pa.array(batch_scores(model, batch) >= THRESHOLD))
 
-    return docs.mapInArrow(lambda batches: (run(b) for b in batches if b.num_rows), docs.schema)
+    return small_batches(docs).mapInArrow(lambda batches: (run(b) for b in batches if b.num_rows), docs.schema)

@@ -44,6 +44,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sigspark.llm.common import small_batches
 from sigspark.session import scratch_path, stored
 
 LEAST = 1000
@@ -286,7 +287,7 @@ def write_packages(pages: DataFrame, folder: str) -> DataFrame:
             done.append((writer.close(), len(writer.lines)))
         yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in done], pa.string()), pa.array([n for _, n in done], pa.int64())], ["path", "records"])
 
-    return stored(with_refers_to(pages).mapInArrow(run, "path string, records long"), "packages")
+    return stored(small_batches(with_refers_to(pages)).mapInArrow(run, "path string, records long"), "packages")
 
 
 def read_packages(packages: DataFrame) -> DataFrame:
