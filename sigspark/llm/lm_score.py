@@ -92,7 +92,8 @@ def logs(counted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float
 def train(docs: DataFrame, targets: DataFrame) -> dict:
     """Both models; ``targets`` has the doc_id of the target documents."""
     ids = targets.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("__id"), F.lit(1).alias("__t")).distinct()
-    rows = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("__id"), "left").select("text", F.coalesce("__t", F.lit(0)).alias("target"))
+    # the targets grow with the documents: joined by merging at any size, never broadcast
+    rows = docs.select("doc_id", "text").join(ids.hint("merge"), F.col("doc_id") == F.col("__id"), "left").select("text", F.coalesce("__t", F.lit(0)).alias("target"))
     found = counts(rows).toArrow()  # at most one row per slot
     both = np.zeros((2, PAIR_SLOTS + WORD_SLOTS))
     slots = found.column("slot").to_numpy()
