@@ -133,6 +133,46 @@ def test_lm_scores(spark):
             assert r.score is None
 
 
+def test_lm_scores_are_those_of_exact_counts(spark):
+    """Dictionaries of words and pairs themselves, without hashes; small blocks and many ranges of keys."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").repartition(3)
+    good = {r.doc_id for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").filter("quality = 1").collect()}
+    texts = {r.doc_id: (r.text or "").encode().lower().split() for r in docs.collect()}
+    assert len(texts) == docs.count()
+    models = []
+    size = [sum(map(len, texts.values())), sum(len(t) for i, t in texts.items() if i in good)]
+    for scale, chosen in ((size[1] / size[0], texts), (1.0, good & texts.keys())):
+        words, pairs = Counter(), Counter()
+        for i in chosen:
+            words.update(texts[i])
+            pairs.update(zip(texts[i], texts[i][1:]))
+        models.append((words, pairs, scale))
+    assert len(models[0][1]) > 100_000
+    ids = spark.createDataFrame([(i,) for i in good], "doc_id long")
+    got = lm_score.cross_entropy_difference(docs, ids, 20_000, 100_000).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    for r in got:
+        own, mean = texts[r.doc_id], []
+        for words, pairs, scale in models:
+            total = 0.0
+            for k, word in enumerate(own):
+                q = (words[word] * scale + 1) / (size[1] + lm_score.WORD_SLOTS)
+                if k:
+                    c = words[own[k - 1]] * scale
+                    q = (pairs[own[k - 1], word] * scale + lm_score.PRIOR * q) / (c + lm_score.PRIOR)
+                total -= math.log(q)
+            mean.append(total / len(own) if own else None)
+        assert r.n_tokens == len(own)
+        if own:
+            assert (r.background_loss, r.target_loss) == pytest.approx(mean, abs=1e-9) and r.score == pytest.approx(mean[1] - mean[0], abs=1e-9)
+
+
+def test_lm_scores_of_texts_without_words(spark):
+    docs = spark.createDataFrame([(1, None), (2, ""), (None, " ")], "doc_id long, text string")
+    got = lm_score.cross_entropy_difference(docs, docs).collect()
+    assert sorted((r.doc_id or 0, r.n_tokens, r.score) for r in got) == [(0, 0, None), (1, 0, None), (2, 0, None)]
+
+
 def test_lm_scores_tell_domains_apart(spark):
     rng = np.random.default_rng(1)
     vocab = {k: [f"{k}{i}" for i in range(50)] for k in "ab"}
