@@ -14,7 +14,9 @@ of the lists change.
 Searching. All queries search together. A query's beam holds the BEAM best nodes
 seen; each round joins the beam's unexpanded nodes with their adjacency, scores the
 neighbours inside the tasks and keeps those above the beam's worst. It ends when
-no beam has an unexpanded node. A query that is itself indexed starts at its own node,
+no beam has an unexpanded node. Then the nearest nodes of TRIED queries, found by
+comparing them with every node, tell the recall; while it is below WANTED, all
+beams double and go on, until they could hold the whole table. A query that is itself indexed starts at its own node,
 and all start at SEEDS nodes. The best RESCORED nodes of a beam are then
 scored exactly, by cosine in double precision on the original vectors.
 
@@ -30,6 +32,7 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,6 +49,8 @@ DEGREE, SAMPLE, REVERSE = 20, 24, 64
 BEST_OF_GROUP = 6
 ROUNDS, SETTLED = 9, 0.08
 BEAM, SEEDS, RESCORED = 320, 4, 32
+#: Queries that are compared with every node, and the recall their beams must reach.
+TRIED, WANTED = 128, 0.93
 #: Meetings and size of the random groups that the first lists come from.
 MEETINGS, MEETING = 5, 8
 
@@ -194,8 +199,45 @@ def scored(front: DataFrame) -> DataFrame:
     return front.select("query", "query_code", F.col("worst").cast("float").alias("worst"), "members").mapInArrow(run, "query long, node long, near float")
 
 
+def brute_force(nodes: DataFrame, queries: DataFrame) -> dict[int, list[float]]:
+    """How near the NEAREST other nodes are to each of TRIED rows of ``queries``; every node is compared."""
+    tried = queries.orderBy(F.xxhash64("query"), "query").limit(TRIED).collect()
+    if not tried:
+        return {}
+    ids, codes = np.array([r["query"] for r in tried]), [bytes(r["query_code"]) for r in tried]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q = unit(codes)
+        for batch in batches:
+            if batch.num_rows:
+                near = q @ unit(batch.column("code").to_pylist()).T
+                near[ids[:, None] == batch.column("node").to_numpy()[None, :]] = -3
+                best = -np.sort(-near, axis=1)[:, :NEAREST]
+                query, best = np.repeat(ids, best.shape[1]), best.ravel().astype(float)
+                yield pa.RecordBatch.from_arrays([pa.array(query[best > -3], pa.int64()), pa.array(best[best > -3], pa.float64())], ["query", "near"])
+
+    found = nodes.select("node", "code").mapInArrow(run, "query long, near double")
+    out: dict[int, list[float]] = {}
+    for row in first_of(found, ["query"], [F.desc("near")], NEAREST).collect():
+        out.setdefault(row["query"], []).append(row["near"])
+    return out
+
+
+def recall(beams: DataFrame, truth: dict[int, list[float]]) -> float:
+    """Part of the nearest nodes of the queries in ``truth`` that their beams hold."""
+    rows = beams.filter(F.col("query").isin(list(truth)) & (F.col("node") != F.col("query")))
+    hits = Counter(r["query"] for r in rows.collect() if r["near"] >= min(truth[r["query"]]) - 1e-6)
+    most = sum(map(len, truth.values()))
+    return sum(min(hits[q], len(near)) for q, near in truth.items()) / most if most else 1.0
+
+
+def best_of(beams: DataFrame) -> DataFrame:
+    """The rows of beams that answers are made of."""
+    return first_of(beams, ["query"], [F.desc("near"), F.col("node")], RESCORED)
+
+
 def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, beam: int = BEAM) -> DataFrame:
-    """(query, node, near): the beam of each row of ``queries`` (query, query_code) at the end."""
+    """(query, node, near): the beam of each row of ``queries`` (query, query_code) at the end; ``beam`` nodes, or as many more as the recall needs."""
     near_by = stored(adjacency(graph, nodes), "adjacency")
     near_by = near_by.repartition(int(graph.sparkSession.conf.get("spark.sql.shuffle.partitions")), "node").persist(StorageLevel.MEMORY_AND_DISK)
     seeds = nodes.select("node", "code").orderBy(F.xxhash64("node")).limit(SEEDS)
@@ -207,7 +249,13 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, beam: int = B
     own = wanted.join(nodes.select("node"), F.col("query") == F.col("node"), "left_semi").select("query", F.col("query").alias("node"), F.lit(2.0).cast("float").alias("near"))
     now = own if from_seeds is None else from_seeds.join(own.select("query", "node"), ["query", "node"], "left_anti").unionByName(own)
     now = stored(now.withColumn("open", F.lit(True)), "beam")
-    while not now.filter("open").isEmpty():
+    truth, total = brute_force(nodes, wanted), nodes.count()
+    while True:
+        if now.filter("open").isEmpty():
+            if beam >= total or recall(best_of(now), truth) >= WANTED:
+                break
+            # what narrower beams have dropped is met again
+            beam, now = 2 * beam, now.withColumn("open", F.lit(True))
         worst = now.groupBy("query").agg(F.when(F.count(F.lit(1)) >= beam, F.min("near")).otherwise(F.lit(-3.0)).alias("worst"))
         front = now.filter("open").select("query", "node").join(wanted, "query").join(worst, "query").join(near_by, "node")
         seen = now.withColumn("open", F.lit(False)).unionByName(scored(front).withColumn("open", F.lit(True)))
@@ -222,7 +270,7 @@ def cosine(a: str, b: str) -> Column:
     return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = NEAREST) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = NEAREST, beam: int = BEAM) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest rows of ``vectors`` (k <= NEAREST) for every
     row of ``queries``, which are rows of ``vectors``, its own left out."""
     rows = stored(usable(vectors), "vectors")
@@ -231,7 +279,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = NEAREST) -> DataFra
     asked = rows.join(queries.select(F.col("vec_id").cast("long").alias("__id")).distinct(), F.col("vec_id") == F.col("__id"), "left_semi")
     asked = stored(asked.join(nodes.select("node", "vector"), "vector").select(F.col("vec_id").alias("query_id"), F.col("node").alias("query")).distinct(), "asked")
     wanted = asked.select("query").distinct().join(nodes.select(F.col("node").alias("query"), F.col("code").alias("query_code")), "query")
-    best = first_of(search(graph, nodes, wanted), ["query"], [F.desc("near"), F.col("node")], RESCORED)
+    best = best_of(search(graph, nodes, wanted, beam))
     exact = best.join(nodes.select("node", "ids", "vector"), "node").join(nodes.select(F.col("node").alias("query"), F.col("vector").alias("asked")), "query")
     exact = exact.select("query", F.explode("ids").alias("vec_id"), cosine("asked", "vector").alias("score")).distinct()
     order = [F.desc("score"), F.col("vec_id")]

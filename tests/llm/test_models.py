@@ -248,3 +248,19 @@ def test_neighbour_recall(spark):
         near[q] = -2
         hits += len(found[int(ids[q])] & set(ids[np.argsort(-near)[:5]].tolist()))
     assert hits >= 0.9 * 5 * len(found)
+
+
+def test_beams_grow_until_the_recall_is_reached(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    local = [(r.vec_id, r.embedding) for r in rows.select("vec_id", "embedding").collect()]
+    ids, x = np.array([i for i, _ in local]), np.array([v for _, v in local], float)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    found = {}
+    for r in neighbours.nearest(rows, rows.filter("vec_id % 50 = 0"), beam=6).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in np.nonzero(ids % 50 == 0)[0]:
+        near = x @ x[q]
+        near[q] = -2
+        hits += len(found[int(ids[q])] & set(ids[np.argsort(-near)[:5]].tolist()))
+    assert hits >= 0.9 * 5 * len(found)
