@@ -8,7 +8,7 @@ DEGREE neighbours. Then, round by round, the neighbours of every node (both
 directions, at most SAMPLE new and SAMPLE old ones, picked by hash) are joined with
 their vectors and meet each other: a neighbour's neighbour that is nearer than the
 worst of a node's list enters it. A round is a few joins and map-side limited
-windows over narrow rows; its vectors are 8-bit. Rounds end when less than SETTLED
+windows over narrow rows; its vectors are 32-bit floats, compared in double precision. Rounds end when less than SETTLED
 of the lists change.
 
 Searching. All queries search together. A query's beam holds the BEAM best nodes
@@ -17,8 +17,8 @@ neighbours inside the tasks and keeps those above the beam's worst. It ends when
 no beam has an unexpanded node. Then the nearest nodes of TRIED queries, found by
 comparing them with every node, tell the recall; while it is below WANTED, all
 beams double and go on, until they could hold the whole table. A query that is itself indexed starts at its own node,
-and all start at SEEDS nodes. The best RESCORED nodes of a beam are then
-scored exactly, by cosine in double precision on the original vectors.
+and all start at SEEDS nodes. All nodes of a beam that are
+within ERROR of its KEEP-th best are then scored exactly, by cosine in double precision on the original vectors.
 
 Each table of a round is written to the shared folder, so a lost executor costs
 no more than a round.
@@ -48,7 +48,9 @@ KEEP = NEAREST + 1
 DEGREE, SAMPLE, REVERSE = 20, 24, 64
 BEST_OF_GROUP = 6
 ROUNDS, SETTLED = 9, 0.08
-BEAM, SEEDS, RESCORED = 320, 4, 32
+BEAM, SEEDS = 320, 4
+#: Above what 32-bit components change in a difference of two cosines.
+ERROR = 1e-6
 #: Queries that are compared with every node, and the recall their beams must reach.
 TRIED, WANTED = 128, 0.93
 #: Meetings and size of the random groups that the first lists come from.
@@ -65,19 +67,18 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def small(values: np.ndarray) -> np.ndarray:
-    """8-bit versions of the rows of a matrix: direction only."""
-    top = np.abs(values).max(axis=1, keepdims=True)
-    return np.rint(values / top * 127).astype(np.int8)
+    """32-bit versions of the rows of a matrix: direction only."""
+    return (values / np.abs(values).max(axis=1, keepdims=True)).astype(np.float32)
 
 
 def unit(data: list[bytes]) -> np.ndarray:
-    """Unit vectors from 8-bit ones."""
-    x = np.frombuffer(b"".join(data), np.int8).reshape(len(data), -1).astype(np.float32)
+    """Unit vectors from 32-bit ones."""
+    x = np.frombuffer(b"".join(data), np.float32).reshape(len(data), -1).astype(np.float64)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def nodes_of(rows: DataFrame) -> DataFrame:
-    """node, ids (least KEEP), vector, code (8-bit); a row per distinct vector.
+    """node, ids (least KEEP), vector, code (32-bit); a row per distinct vector.
 
     Copies are counted down in two steps, the first one salted by row count, so
     that no group grows with the number of copies.
@@ -116,7 +117,7 @@ def met(groups: DataFrame) -> DataFrame:
             ids = flat.field("id").to_numpy(zero_copy_only=False)
             fresh = flat.field("fresh").to_numpy(zero_copy_only=False).astype(bool)
             worst = flat.field("worst").to_numpy(zero_copy_only=False)
-            x = unit(flat.field("code").to_pylist()) if len(flat) else np.zeros((0, 1), np.float32)
+            x = unit(flat.field("code").to_pylist()) if len(flat) else np.zeros((0, 1))
             found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             for b, e in zip(ends[:-1], ends[1:], strict=True):
                 new = np.nonzero(fresh[b:e])[0]
@@ -126,21 +127,21 @@ def met(groups: DataFrame) -> DataFrame:
                 near[np.arange(len(new)), new] = -2
                 own, low = ids[b:e], worst[b:e]
                 k = min(BEST_OF_GROUP, near.shape[1]) - 1
-                rows = near >= np.maximum(np.partition(near, -k - 1, axis=1)[:, -k - 1], low[new] + 1e-6)[:, None]
+                rows = near >= np.maximum(np.partition(near, -k - 1, axis=1)[:, -k - 1], np.nextafter(low[new], 3))[:, None]
                 k = min(BEST_OF_GROUP, near.shape[0]) - 1
-                columns = near >= np.maximum(np.partition(near, -k - 1, axis=0)[-k - 1], low + 1e-6)[None, :]
+                columns = near >= np.maximum(np.partition(near, -k - 1, axis=0)[-k - 1], np.nextafter(low, 3))[None, :]
                 for keep, flip in ((rows & (near > -2), False), (columns & (near > -2), True)):
                     i, j = np.nonzero(keep)
                     found.append((own[j], own[new[i]], near[i, j]) if flip else (own[new[i]], own[j], near[i, j]))
             if found:
                 a, b, s = (np.concatenate(c) for c in zip(*found, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s, pa.float32())], ["node", "other", "near"])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s, pa.float64())], ["node", "other", "near"])
 
-    return groups.mapInArrow(run, "node long, other long, near float")
+    return groups.mapInArrow(run, "node long, other long, near double")
 
 
 def members(fresh: Column | str, worst: Column | str, node: str = "node") -> Column:
-    return F.collect_list(F.struct(F.col(node).alias("id"), F.col(fresh).alias("fresh"), F.col(worst).cast("float").alias("worst"), "code")).alias("members")
+    return F.collect_list(F.struct(F.col(node).alias("id"), F.col(fresh).alias("fresh"), F.col(worst).cast("double").alias("worst"), "code")).alias("members")
 
 
 def build(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -188,15 +189,15 @@ def scored(front: DataFrame) -> DataFrame:
             flat = lists.flatten()
             q = unit(batch.column("query_code").to_pylist())
             owner = np.repeat(np.arange(batch.num_rows), sizes)
-            near = np.einsum("ij,ij->i", unit(flat.field("code").to_pylist()), q[owner]) if len(flat) else np.zeros(0, np.float32)
+            near = np.einsum("ij,ij->i", unit(flat.field("code").to_pylist()), q[owner]) if len(flat) else np.zeros(0)
             keep = near > batch.column("worst").to_numpy(zero_copy_only=False)[owner]
             query, ids = batch.column("query").to_numpy(zero_copy_only=False), flat.field("id").to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(query[owner[keep]], pa.int64()), pa.array(ids[keep], pa.int64()), pa.array(near[keep].astype(np.float32), pa.float32())],
+                [pa.array(query[owner[keep]], pa.int64()), pa.array(ids[keep], pa.int64()), pa.array(near[keep], pa.float64())],
                 ["query", "node", "near"],
             )
 
-    return front.select("query", "query_code", F.col("worst").cast("float").alias("worst"), "members").mapInArrow(run, "query long, node long, near float")
+    return front.select("query", "query_code", F.col("worst").cast("double").alias("worst"), "members").mapInArrow(run, "query long, node long, near double")
 
 
 def brute_force(nodes: DataFrame, queries: DataFrame) -> dict[int, list[float]]:
@@ -226,14 +227,16 @@ def brute_force(nodes: DataFrame, queries: DataFrame) -> dict[int, list[float]]:
 def recall(beams: DataFrame, truth: dict[int, list[float]]) -> float:
     """Part of the nearest nodes of the queries in ``truth`` that their beams hold."""
     rows = beams.filter(F.col("query").isin(list(truth)) & (F.col("node") != F.col("query")))
-    hits = Counter(r["query"] for r in rows.collect() if r["near"] >= min(truth[r["query"]]) - 1e-6)
+    hits = Counter(r["query"] for r in rows.collect() if r["near"] >= min(truth[r["query"]]) - 1e-12)
     most = sum(map(len, truth.values()))
     return sum(min(hits[q], len(near)) for q, near in truth.items()) / most if most else 1.0
 
 
 def best_of(beams: DataFrame) -> DataFrame:
-    """The rows of beams that answers are made of."""
-    return first_of(beams, ["query"], [F.desc("near"), F.col("node")], RESCORED)
+    """The rows of beams that answers are made of: all within ERROR of the KEEP-th best."""
+    placed = beams.withColumn("__r", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("near"), "node")))
+    last = F.min(F.when(F.col("__r") <= KEEP, F.col("near"))).over(Window.partitionBy("query"))
+    return placed.withColumn("__last", last).filter(F.col("near") >= F.col("__last") - ERROR).drop("__r", "__last")
 
 
 def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, beam: int = BEAM) -> DataFrame:
@@ -246,7 +249,7 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, beam: int = B
     begin = [(r["id"], r["code"]) for r in entry["members"]]
     start = F.array(*[F.struct(F.lit(i).cast("long").alias("id"), F.lit(bytes(c)).alias("code")) for i, c in begin])
     from_seeds = scored(wanted.withColumn("worst", F.lit(-3.0)).withColumn("members", start)) if begin else None
-    own = wanted.join(nodes.select("node"), F.col("query") == F.col("node"), "left_semi").select("query", F.col("query").alias("node"), F.lit(2.0).cast("float").alias("near"))
+    own = wanted.join(nodes.select("node"), F.col("query") == F.col("node"), "left_semi").select("query", F.col("query").alias("node"), F.lit(2.0).alias("near"))
     now = own if from_seeds is None else from_seeds.join(own.select("query", "node"), ["query", "node"], "left_anti").unionByName(own)
     now = stored(now.withColumn("open", F.lit(True)), "beam")
     truth, total = brute_force(nodes, wanted), nodes.count()

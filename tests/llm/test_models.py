@@ -264,3 +264,16 @@ def test_beams_grow_until_the_recall_is_reached(spark):
         near[q] = -2
         hits += len(found[int(ids[q])] & set(ids[np.argsort(-near)[:5]].tolist()))
     assert hits >= 0.9 * 5 * len(found)
+
+
+def test_neighbours_within_tight_clusters(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(2, 16))
+    x = np.concatenate([centres[0] + 0.001 * rng.normal(size=(900, 16)), centres[1] + 0.01 * rng.normal(size=(500, 16)), rng.normal(size=(200, 16))])
+    items = [(i, v.tolist()) for i, v in enumerate(x.astype(np.float32).astype(float))]
+    rows = vector_rows(spark, items)
+    want = nearest_by_hand(items, range(0, len(items), 50))
+    hits = 0
+    for r in neighbours.nearest(rows, rows.filter("vec_id % 50 = 0")).collect():
+        hits += r.vec_id in {i for _, i in want[r.query_id]}
+    assert hits >= 0.95 * 5 * len(want)
