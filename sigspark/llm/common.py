@@ -9,6 +9,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sigspark.session import stored
+
 #: Bits of the set that ``maybe_in`` broadcasts: 8 MiB, whatever the input.
 SET_BITS = 26
 #: Rows of an Arrow batch that holds texts.
@@ -90,3 +92,18 @@ def encoded(batch: pa.RecordBatch, column: str) -> Iterator[bytes]:
     """The texts of a batch as UTF-8 bytes, one at a time; null as empty."""
     for value in batch.column(column):
         yield value.as_buffer().to_pybytes() if value.is_valid else b""
+
+
+#: Rows of a range block, where the session's shuffle partitions would hold more.
+BLOCK_ROWS = 1_000_000
+
+
+def in_blocks(rows: DataFrame, order: list[str | Column], n_rows: int, name: str) -> DataFrame:
+    """``rows`` as a stored table with ``__block``: blocks are ranges of ``order``, ascending.
+
+    A rank or a neighbour in a global order is one within a block, plus a number or a row per block;
+    there are as many blocks as shuffle partitions, or one for every BLOCK_ROWS rows. ``n_rows`` is about the number of rows.
+    """
+    spark = rows.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // BLOCK_ROWS))
+    return stored(rows.repartitionByRange(parts, *order).withColumn("__block", F.spark_partition_id()), name)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigspark.llm import chat, exact_dedup, lm_score, near_dedup, neighbours, packing, quality, secrets, sentencepiece_codec, warc
+from sigspark.llm import chat, exact_dedup, fingerprints, lm_score, near_dedup, neighbours, packing, quality, secrets, sentencepiece_codec, warc
 from sigspark.llm.common import table, text_of
 
 BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -178,3 +178,37 @@ def op4_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 nearest vectors of every row whose vec_id is divisible by 50, among all rows."""
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.nearest(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
+@query(
+    r"""
+    WITH d AS (
+      SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+             row_number() OVER (ORDER BY doc_id NULLS FIRST, sha256(coalesce(text, ''))) - 1 AS pos, count(*) OVER () AS total
+      FROM documents),
+    e AS (
+      SELECT a.doc_id, a.n, a.text, b.text AS next_text, substr(a.text, 1, a.n - a.n // 4) || substr(b.text, 1, a.n // 4) AS edited
+      FROM d a JOIN d b ON b.pos = (a.pos + 1) % a.total),
+    t AS (SELECT DISTINCT unnest([text, edited]) AS text FROM e),
+    w AS (SELECT text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM t),
+    h AS (
+      SELECT text, [substr(md5(array_to_string(ws[i : i + 4], ' ')), 1, 12)
+                    FOR i IN range(1, CASE WHEN len(ws) = 0 THEN 1 ELSE greatest(len(ws) - 3, 2) END)] AS hs
+      FROM w),
+    k AS (SELECT text, hs, list_sort(list_distinct([x FOR x IN hs IF x < '400000000000'])) AS low FROM h),
+    s AS (SELECT text, CASE WHEN len(low) > 0 OR len(hs) = 0 THEN low ELSE [list_min(hs)] END AS sketch FROM k),
+    r AS (
+      SELECT e.*, x.sketch AS own, y.sketch AS other, z.sketch AS later
+      FROM e JOIN s x ON x.text = e.text JOIN s y ON y.text = e.edited JOIN s z ON z.text = e.next_text)
+    SELECT doc_id, CAST(n AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256,
+           array_to_string(own, '') AS fingerprint, array_to_string(other, '') AS edited_fingerprint,
+           CASE WHEN least(len(own), len(other)) > 0 THEN CAST(len(list_intersect(own, other)) AS DOUBLE) / least(len(own), len(other))
+                ELSE CAST(len(own) = len(other) AS DOUBLE) END AS near_edited,
+           CASE WHEN least(len(own), len(later)) > 0 THEN CAST(len(list_intersect(own, later)) AS DOUBLE) / least(len(own), len(later))
+                ELSE CAST(len(own) = len(later) AS DOUBLE) END AS near_next
+    FROM r
+    """
+)
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Threshold-scaled sketches of every document and of its edited text."""
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
