@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigspark.llm import chat, exact_dedup, fingerprints, lm_score, near_dedup, neighbours, packing, quality, secrets, sentencepiece_codec, warc
+from sigspark.llm import chat, exact_dedup, fingerprints, lm_score, near_dedup, neighbours, packing, quality, resample, secrets, sentencepiece_codec, warc
 from sigspark.llm.common import table, text_of
 
 BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -212,3 +212,54 @@ def op4_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Threshold-scaled sketches of every document and of its edited text."""
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query(
+    r"""
+    WITH crc_table AS (
+      SELECT list(list_reduce([CAST(b AS BIGINT)] || range(8),
+                  lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY b) AS t
+      FROM range(256) r(b)),
+    texts AS (
+      SELECT 0 AS target, doc_id AS id, coalesce(text, '') AS text FROM documents
+      UNION ALL SELECT 1, item_id, coalesce(text, '') FROM benchmark),
+    w AS (
+      SELECT target, id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+      FROM texts),
+    f AS (
+      SELECT target, id, unnest(ws || [ws[i] || ' ' || ws[i + 1] FOR i IN range(1, len(ws))]) AS feature FROM w),
+    d AS (SELECT DISTINCT feature, hex(encode(feature)) AS h FROM f),
+    c AS (
+      SELECT feature, xor(list_reduce(
+        [4294967295] || [(instr('0123456789ABCDEF', h[i]) - 1) * 16 + instr('0123456789ABCDEF', h[i + 1]) - 1 FOR i IN range(1, len(h), 2)],
+        lambda s, b: xor(s // 256, t[xor(s % 256, b) + 1])), 4294967295) % 10000 AS bucket
+      FROM d, crc_table),
+    n AS (
+      SELECT target, id, bucket, count(*) AS n FROM f JOIN c USING (feature) GROUP BY ALL),
+    totals AS (
+      SELECT CAST(coalesce(sum(n) FILTER (target = 0), 0) AS BIGINT) AS s, CAST(coalesce(sum(n) FILTER (target = 1), 0) AS BIGINT) AS t FROM n),
+    per_bucket AS (
+      SELECT bucket, CAST(coalesce(sum(n) FILTER (target = 0), 0) AS BIGINT) AS s, CAST(coalesce(sum(n) FILTER (target = 1), 0) AS BIGINT) AS t
+      FROM n GROUP BY bucket),
+    gains AS (
+      SELECT bucket, CAST(floor(1000 * ln(CAST((b.t + 1) * (a.s + 10000) AS DOUBLE) / CAST((b.s + 1) * (a.t + 10000) AS DOUBLE))) AS BIGINT) AS gain
+      FROM per_bucket b, totals a),
+    sums AS (
+      SELECT id, CAST(floor(CAST(sum(n * gain) AS DOUBLE) / CAST(sum(n) AS DOUBLE)) AS BIGINT) AS weight
+      FROM n JOIN gains USING (bucket) WHERE target = 0 GROUP BY id),
+    scored AS (
+      SELECT w.id AS doc_id, len(ws) AS words, CAST(len(ws) + greatest(len(ws) - 1, 0) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+             coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || w.id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+      FROM w LEFT JOIN sums ON sums.id = w.id WHERE target = 0),
+    placed AS (
+      SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS able FROM scored WHERE words >= 20)
+    SELECT doc_id, n_features, weight, score, CASE WHEN place <= 25 * able // 100 THEN place END AS rank
+    FROM scored LEFT JOIN placed USING (doc_id)
+    """
+)
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn to look like the benchmark's items."""
+    drawn = resample.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
