@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigspark.llm import chat, exact_dedup, fingerprints, lm_score, near_dedup, neighbours, packing, quality, resample, secrets, sentencepiece_codec, warc
+from sigspark.llm import chat, exact_dedup, fingerprints, lm_score, near_dedup, neighbours, packing, prefix_trie, quality, resample, secrets, sentencepiece_codec, warc
 from sigspark.llm.common import table, text_of
 
 BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -263,3 +263,56 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents drawn to look like the benchmark's items."""
     drawn = resample.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query(
+    r"""
+    WITH crc_table AS (
+      SELECT list(list_reduce([CAST(b AS BIGINT)] || range(8),
+                  lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY b) AS t
+      FROM range(256) r(b)),
+    turns AS (
+      SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(CAST(strlen(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+      FROM conversations WHERE conv_id IS NOT NULL),
+    convs AS (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS name FROM turns),
+    plan AS (
+      SELECT conv_id, conv_id - conv_id % 5 AS base,
+             xor(list_reduce([4294967295] || [ascii(name[i]) FOR i IN range(1, length(name) + 1)],
+                             lambda s, b: xor(s // 256, t[xor(s % 256, b) + 1])), 4294967295) % 9 AS h
+      FROM convs, crc_table),
+    parts AS (
+      SELECT p.conv_id, 0 AS part, t.pos, t.role, t.text FROM plan p JOIN turns t ON t.conv_id = p.base AND t.pos <= p.h
+      UNION ALL
+      SELECT p.conv_id, 1, t.pos, t.role, t.text FROM plan p JOIN turns t ON t.conv_id = p.conv_id AND t.pos > p.h),
+    rebuilt AS (
+      SELECT conv_id, row_number() OVER w AS depth, text,
+             string_agg(md5(role) || md5(text), '') OVER (PARTITION BY conv_id ORDER BY part, pos ROWS UNBOUNDED PRECEDING) AS path
+      FROM parts WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos)),
+    rows AS (
+      SELECT conv_id, depth, strlen(text) AS bytes, path FROM rebuilt
+      UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+    lengths AS (SELECT conv_id, max(depth) AS length FROM rows GROUP BY conv_id),
+    nodes AS (
+      SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, min(bytes) AS bytes,
+             coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = length), '') AS ends
+      FROM rows JOIN lengths USING (conv_id) GROUP BY path, depth),
+    children AS (
+      SELECT n.path, n.depth, count(c.path) AS n_children
+      FROM nodes n LEFT JOIN nodes c ON c.depth = n.depth + 1 AND substr(c.path, 1, 64 * n.depth) = n.path GROUP BY ALL),
+    above AS (
+      SELECT a.path, a.depth, n.n_convs, n.bytes, k.n_children
+      FROM nodes n JOIN children k USING (path, depth) JOIN rows a ON a.conv_id = n.conv_id AND a.depth <= n.depth),
+    sums AS (
+      SELECT path, depth, CAST(count(*) FILTER (n_children = 0) AS BIGINT) AS n_leaves, CAST(sum((n_convs - 1) * bytes) AS BIGINT) AS saved_tokens
+      FROM above GROUP BY ALL)
+    SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n_children, n_leaves, saved_tokens, sha256(n.ends) AS ends_sha256
+    FROM nodes n JOIN children USING (path, depth) JOIN sums USING (path, depth)
+    LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = substr(n.path, 1, 64 * (n.depth - 1))
+    """
+)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of the conversations rebuilt on the heads of others."""
+    conv = F.col("conv_id")
+    trie = prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), conv - conv % 5, F.crc32(conv.cast("string")) % 9)
+    return trie.drop("ref")
