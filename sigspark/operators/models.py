@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from sigspark.config import DEFAULT, Settings
 from sigspark.operators import evaluate, impute, neighbours, prepare, ranking
 from sigspark.operators.segments import join_small
+from sigspark.session import stored
 
 FOURIER = 256
 ROWS_PER_TASK = 20_000
@@ -36,12 +37,15 @@ def random_forest(s: Settings, p: int, k: int) -> Estimator:
 
 
 def boosting(s: Settings, p: int, k: int) -> Estimator:
-    tree = C.GBTClassifier(labelCol="code", maxIter=s.boost_rounds, stepSize=s.boost_rate, maxDepth=s.boost_depth, seed=s.seed)
-    return C.OneVsRest(classifier=tree, labelCol="code", parallelism=4)
+    tree = C.GBTClassifier(
+        labelCol="code", weightCol="weight", maxIter=s.boost_rounds, stepSize=s.boost_rate, maxDepth=s.boost_depth, seed=s.seed
+    )
+    return C.OneVsRest(classifier=tree, labelCol="code", weightCol="weight", parallelism=4)
 
 
 def support_vectors(s: Settings, p: int, k: int) -> Estimator:
-    return C.OneVsRest(classifier=C.LinearSVC(labelCol="code", regParam=1e-3, maxIter=50), labelCol="code", parallelism=4)
+    plane = C.LinearSVC(labelCol="code", weightCol="weight", regParam=1e-3, maxIter=50)
+    return C.OneVsRest(classifier=plane, labelCol="code", weightCol="weight", parallelism=4)
 
 
 def logistic(s: Settings, p: int, k: int) -> Estimator:
@@ -172,7 +176,8 @@ def train(prepared: DataFrame, id_col: str, key: str, settings: Settings = DEFAU
     p, k = len(imputer.kept), label_map.count()
     fitted, train_rows = None, None
     if key == "knn":
-        train_rows = ready.select(id_col, F.col("code").alias("label"), "features")
+        # written: the model lives on without the rows kept above
+        train_rows = stored(ready.select(id_col, F.col("code").alias("label"), "features"), "knn-train")
     else:
         if key == "svc":
             ready = fourier_features(ready, p, settings.seed)
@@ -180,7 +185,7 @@ def train(prepared: DataFrame, id_col: str, key: str, settings: Settings = DEFAU
         ready = ready.withColumn("features", array_to_vector("features")).withColumn("code", F.col("code").cast("double"))
         fitted = MODELS[key](settings, p, k).fit(ready.persist())
         ready.unpersist()
-        rows.unpersist()
+    rows.unpersist()
     return Trained(key, imputer, scaler, label_map, fitted, train_rows, settings)
 
 

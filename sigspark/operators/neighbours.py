@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
+from pyspark.ml.feature import PCA
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sigspark.operators.segments import with_positions
+from sigspark.functions.arrays import lit_array
+from sigspark.session import stored
 
 MAX_BROADCAST_CELLS = 10_000_000
 BLOCK = 20_000
+MAX_BLOCKS = 100_000
+#: Principal directions that a block's box is measured in.
+AXES = 6
 
 
 def class_means(df: DataFrame, label: str = "label", features: str = "features") -> DataFrame:
@@ -38,8 +46,18 @@ def nearest_mean(df: DataFrame, means: DataFrame, id_col: str, label: str = "lab
     return scored.withColumn("predicted", F.array_min(costs)["code"]).drop("_means")
 
 
+def _ids(values) -> np.ndarray:
+    """Ids as an array that sorts: numbers stay, text becomes fixed width and sorts by code point as Spark's does."""
+    made = np.asarray(values)
+    return made if made.dtype != object else np.array([str(v) for v in made])
+
+
+def _matrix(rows) -> np.ndarray:
+    return np.array(list(rows), dtype="float64")
+
+
 def _top_k(q: np.ndarray, ids: np.ndarray, labels: np.ndarray, rows: np.ndarray, k: int):
-    """k nearest of ``rows`` for each query: distances, ids and labels, by distance then id."""
+    """k nearest of ``rows`` for each query: squared distances, ids and labels, by distance then id."""
     d = ((q**2).sum(1)[:, None] - 2.0 * q @ rows.T) + (rows**2).sum(1)[None, :]
     k = min(k, len(ids))
     # everything as near as the k-th, measured again without cancellation
@@ -59,68 +77,205 @@ def _neighbour_rows(query_ids, found) -> pd.DataFrame:
         return pd.DataFrame({"query_id": [], "row_id": [], "label": [], "dist": []})
     return pd.DataFrame(
         {
-            "query_id": np.repeat(np.asarray(query_ids), sizes),
-            "row_id": np.concatenate([f[1] for f in found]),
+            "query_id": np.repeat(np.asarray(query_ids, dtype=object), sizes),
+            "row_id": [i for f in found for i in f[1].tolist()],
             "label": np.concatenate([f[2] for f in found]),
             "dist": np.concatenate([f[0] for f in found]),
         }
     )
 
 
+def _meet(queries: pd.DataFrame, ids: np.ndarray, labels: np.ndarray, rows: np.ndarray, k: int) -> pd.DataFrame:
+    """Neighbours among ``rows`` of all queries, a slice of queries at a time."""
+    made = []
+    for at in range(0, len(queries), 256):
+        part = queries.iloc[at : at + 256]
+        made.append(_neighbour_rows(part["query_id"], _top_k(_matrix(part["features"]), ids, labels, rows, k)))
+    return pd.concat(made) if made else _neighbour_rows([], [])
+
+
+def principal_axes(train: DataFrame, width: int, n_rows: int, axes: int = AXES) -> np.ndarray:
+    """Orthonormal directions (width x axes) of largest variance; the driver sees width x width numbers."""
+    axes = min(axes, width)
+    if n_rows < 2:
+        return np.eye(width)[:, :axes]
+    rows = train.select(array_to_vector("features").alias("v"))
+    return PCA(k=axes, inputCol="v", outputCol="c").fit(rows).pc.toArray()
+
+
+def with_coordinates(df: DataFrame, axes: np.ndarray) -> DataFrame:
+    """Adds ``_c``: the projection on every axis, and the length of what the axes leave out.
+
+    The distance of two rows' coordinates is never above the distance of the rows: the axes are
+    orthonormal, and the lengths of two remainders differ by at most the length of their difference.
+    """
+    dot = lambda axis: F.aggregate(F.zip_with("features", lit_array(axis), lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
+    df = df.withColumn("_p", F.array(*[dot(axis) for axis in axes.T.tolist()]))
+    square = lambda a: F.aggregate(a, F.lit(0.0), lambda s, v: s + v * v)
+    rest = F.sqrt(F.greatest(square(F.col("features")) - square(F.col("_p")), F.lit(0.0)))
+    return df.withColumn("_c", F.concat("_p", F.array(rest))).drop("_p")
+
+
+@dataclass
+class Blocks:
+    """Training rows cut into blocks of near rows, and a box of coordinates around each."""
+
+    rows: DataFrame  # row_id, label, features, _block
+    axes: np.ndarray
+    ids: np.ndarray
+    sizes: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+    def bounds(self, c: np.ndarray) -> np.ndarray:
+        """Lower bound of the distance from each query (rows of coordinates) to every block's rows."""
+        out = np.zeros((len(c), len(self.ids)))
+        for i in range(c.shape[1]):
+            gap = np.maximum(np.maximum(self.low[:, i][None, :] - c[:, i][:, None], c[:, i][:, None] - self.high[:, i][None, :]), 0)
+            out += gap**2
+        # the coordinates are rounded sums: allow for their error
+        scale = 1 + np.abs(c).max(1)[:, None] + np.maximum(np.abs(self.low), np.abs(self.high)).max(1)[None, :]
+        return np.maximum(np.sqrt(out) - 1e-6 * scale, 0)
+
+
+def cut_into_blocks(train: DataFrame, width: int, block: int = BLOCK) -> Blocks:
+    """Cells between quantiles of the principal coordinates; a cell above ``block`` rows is dealt into several blocks by row id.
+
+    The tables of cells and blocks have about one row per ``block`` training rows, MAX_BLOCKS at most: ``block`` grows beyond that.
+    """
+    n = train.count()
+    block = max(block, -(-n // MAX_BLOCKS))
+    axes = principal_axes(train, width, n)
+    rows = with_coordinates(train, axes)
+    m = axes.shape[1]
+    # at most as many cells as blocks are wanted, most cuts along the first axis
+    wanted, cuts = max(1, -(-n // block)), [1] * m
+    while np.prod(cuts) * 2 <= wanted:
+        # the axis whose cells are widest, by the order of variance
+        cuts[min(range(m), key=lambda i: (cuts[i] * (i + 1), i))] *= 2
+    shares = [[j / c for j in range(1, c)] for c in cuts]
+    asked = [F.percentile_approx(F.col("_c")[i], s, 10_000).alias(f"q{i}") for i, s in enumerate(shares) if s]
+    edges = rows.agg(*asked).first() if asked else None
+    cell = F.lit(0).cast("long")
+    for i, c in enumerate(cuts):
+        if c > 1:
+            inner = F.size(F.filter(lit_array(edges[f"q{i}"]), lambda e, i=i: e <= F.col("_c")[i]))
+            cell = cell * c + inner
+    rows = rows.withColumn("_cell", cell)
+    counts = rows.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / block).alias("_parts"))
+    parts = train.sparkSession.createDataFrame(counts.toArrow(), counts.schema)  # one row per cell
+    rows = rows.join(F.broadcast(parts), "_cell")
+    rows = rows.withColumn("_block", F.concat_ws("/", F.col("_cell").cast("string"), F.pmod(F.xxhash64("row_id"), F.col("_parts")).cast("string")))
+    rows = stored(rows.select("row_id", "label", "features", "_c", "_block"), "knn-blocks")
+    ends = [f(F.col("_c")[i]).alias(f"{name}{i}") for name, f in (("low", F.min), ("high", F.max)) for i in range(m + 1)]
+    boxes = rows.groupBy("_block").agg(F.count(F.lit(1)).alias("n"), *ends).orderBy("_block").toPandas()  # one row per block
+    side = lambda name: boxes[[f"{name}{i}" for i in range(m + 1)]].to_numpy("float64")
+    return Blocks(rows.drop("_c"), axes, boxes["_block"].to_numpy(), boxes["n"].to_numpy("int64"), side("low"), side("high"))
+
+
+def blocks_asked(queries: DataFrame, blocks: Blocks, k: int, kind: str) -> DataFrame:
+    """(query_id, features, _block): the blocks that may hold one of a query's k nearest rows.
+
+    With a column ``bound`` (a distance that k rows are known to keep) these are all blocks whose box is not farther away. Without,
+    the nearest blocks that hold k rows together.
+    """
+    known = "bound" in queries.columns
+    parts = Blocks(None, blocks.axes, blocks.ids, blocks.sizes, blocks.low, blocks.high)  # a data frame can't go to the tasks
+    shared = queries.sparkSession.sparkContext.broadcast(parts)
+
+    def run(batches):
+        b = shared.value
+        step = max(1, 2_000_000 // max(1, len(b.ids)))
+        for pdf in batches:
+            for at in range(0, len(pdf), step):
+                part = pdf.iloc[at : at + step]
+                away = b.bounds(_matrix(part["_c"]))
+                if known:
+                    hit = away <= part["bound"].to_numpy()[:, None]
+                else:
+                    order = np.argsort(away, axis=1, kind="stable")
+                    before = np.cumsum(b.sizes[order], axis=1) - b.sizes[order]
+                    hit = np.zeros(away.shape, bool)
+                    np.put_along_axis(hit, order, before < k, axis=1)
+                which, block = np.nonzero(hit)
+                yield pd.DataFrame(
+                    {
+                        "query_id": part["query_id"].to_numpy()[which],
+                        "features": part["features"].to_numpy()[which],
+                        "_block": b.ids[block],
+                    }
+                )
+
+    return with_coordinates(queries, blocks.axes).mapInPandas(run, f"query_id {kind}, features array<double>, _block string")
+
+
+def search_blocks(asked: DataFrame, blocks: Blocks, k: int, schema: str, block: int = BLOCK) -> DataFrame:
+    """The k nearest rows of every (query, block) asked for.
+
+    A block that many queries ask for meets them in groups of at most about ``block`` queries: only its rows are copied, once per group.
+    """
+    asked = stored(asked, "knn-asked")
+    counts = asked.groupBy("_block").agg(F.ceil(F.count(F.lit(1)) / block).alias("_groups"))
+    groups = asked.sparkSession.createDataFrame(counts.toArrow(), counts.schema)  # at most one row per block
+    left = asked.join(F.broadcast(groups), "_block").withColumn("_group", F.pmod(F.xxhash64("query_id"), F.col("_groups")))
+    right = blocks.rows.join(F.broadcast(groups), "_block").withColumn("_group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_groups") - 1)))
+
+    def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if len(a) == 0 or len(b) == 0:
+            return _neighbour_rows([], [])
+        return _meet(a, _ids(b["row_id"]), b["label"].to_numpy(), _matrix(b["features"]), k)
+
+    return left.drop("_groups").groupBy("_block", "_group").cogroup(right.drop("_groups").groupBy("_block", "_group")).applyInPandas(meet, schema)
+
+
 def k_nearest(
     queries: DataFrame, train: DataFrame, id_col: str, k: int, max_cells: int = MAX_BROADCAST_CELLS, block: int = BLOCK
 ) -> DataFrame:
-    """(query_id, row_id, label, dist): the k nearest training rows of every query, exact.
+    """(query_id, row_id, label, dist): the k nearest training rows of every query, exact; ids keep their type.
+
+    Training sets are capped per class, so they usually fit a checked broadcast and each batch of queries is one
+    matrix product. A larger set is cut into blocks of near rows (``cut_into_blocks``) and searched twice:
+
+    * every query meets the nearest blocks that hold k rows; its k-th distance there is an upper bound;
+    * it then meets every block whose box is not farther away than that. What is left out is proven to be farther.
+
+    So training rows stay where they are but for one copy per group of queries, and a query is copied to the blocks it needs. In
+    data without any structure these may be all blocks; the answer is exact in any case.
 
-    Training sets are capped per class, so they usually fit a checked
-    broadcast and each batch of queries is one matrix product. A larger set is
-    cut into blocks: queries and training rows meet block by block in groups
-    of fixed size, each group keeps k rows per query, and a window merges them.
+    Defined cases: without training rows there are no neighbours; with fewer than k all of them are; equal distances go by
+    the row id; repeated rows count each.
     """
-    schema = "query_id long, row_id long, label int, dist double"
-    train = train.select(F.col(id_col).cast("long").alias("row_id"), F.col("label").cast("int"), "features")
-    queries = queries.select(F.col(id_col).cast("long").alias("query_id"), "features")
-    width = F.size("features")
-    limit = max_cells // max(1, (train.select(width.alias("w")).head() or [1])[0])
+    kind = queries.schema[id_col].dataType.simpleString()
+    schema = f"query_id {kind}, row_id {train.schema[id_col].dataType.simpleString()}, label int, dist double"
+    wide = F.col("features").cast("array<double>").alias("features")
+    train = train.select(F.col(id_col).alias("row_id"), F.col("label").cast("int").alias("label"), wide)
+    queries = queries.select(F.col(id_col).alias("query_id"), wide)
+    width = (train.select(F.size("features").alias("w")).head() or [0])[0]
+    if width == 0:
+        return queries.sparkSession.createDataFrame([], schema)
+    limit = max_cells // width
     head = train.limit(limit + 1).toArrow()
     if head.num_rows <= limit:
-        ids = head["row_id"].to_numpy()
-        labels = head["label"].to_numpy()
-        rows = np.array(head["features"].to_pylist(), dtype="float64")
+        ids, labels, rows = _ids(head["row_id"].to_pandas()), head["label"].to_numpy(), _matrix(head["features"].to_pylist())
         shared = train.sparkSession.sparkContext.broadcast((ids, labels, rows))
 
         def scan(batches):
-            b_ids, b_labels, b_rows = shared.value
             for pdf in batches:
-                for at in range(0, len(pdf), 256):
-                    part = pdf.iloc[at : at + 256]
-                    q = np.array(part["features"].tolist(), dtype="float64")
-                    yield _neighbour_rows(part["query_id"], _top_k(q, b_ids, b_labels, b_rows, k))
+                yield _meet(pdf, *shared.value, k)
 
         return queries.mapInPandas(scan, schema)
 
-    q_cut = with_positions(queries, [], "query_id", out="_p").withColumn("_qb", F.floor(F.col("_p") / block)).drop("_p")
-    t_cut = with_positions(train, [], "row_id", out="_p").withColumn("_tb", F.floor(F.col("_p") / block)).drop("_p")
-    n_qb = q_cut.agg(F.max("_qb")).scalar()
-    n_tb = t_cut.agg(F.max("_tb")).scalar()
-    left = q_cut.withColumn("_n", n_tb).withColumn("_tb", F.explode(F.sequence(F.lit(0).cast("long"), "_n"))).drop("_n")
-    right = t_cut.withColumn("_n", n_qb).withColumn("_qb", F.explode(F.sequence(F.lit(0).cast("long"), "_n"))).drop("_n")
-
-    def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if len(a) == 0 or len(b) == 0:
-            return _neighbour_rows([], [])
-        rows = np.array(b["features"].tolist(), dtype="float64")
-        ids, labels = b["row_id"].to_numpy(), b["label"].to_numpy()
-        made = []
-        for at in range(0, len(a), 256):
-            part = a.iloc[at : at + 256]
-            q = np.array(part["features"].tolist(), dtype="float64")
-            made.append(_neighbour_rows(part["query_id"], _top_k(q, ids, labels, rows, k)))
-        return pd.concat(made)
-
-    met = left.groupBy("_qb", "_tb").cogroup(right.groupBy("_qb", "_tb")).applyInPandas(meet, schema)
-    w = Window.partitionBy("query_id").orderBy("dist", "row_id")
-    return met.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
+    blocks = cut_into_blocks(train, width, block)
+    first = search_blocks(blocks_asked(queries, blocks, k, kind), blocks, k, schema, block)
+    ranked = Window.partitionBy("query_id").orderBy("dist", "row_id")
+    # of queries that share an id, every one keeps its own bound: the largest k-th distance holds for all of them
+    at_k = first.withColumn("_r", F.row_number().over(ranked)).where(F.col("_r") <= k)
+    bounds = at_k.groupBy("query_id").agg(F.max("dist").alias("d"), F.count(F.lit(1)).alias("n"))
+    total = int(blocks.sizes.sum())
+    bound = F.when(F.col("n") >= min(k, total), F.sqrt("d") * (1 + 1e-9) + 1e-9).otherwise(F.lit(float("inf"))).alias("bound")
+    bounded = queries.join(bounds.select("query_id", bound), "query_id")
+    met = search_blocks(blocks_asked(bounded, blocks, k, kind), blocks, k, schema, block)
+    return met.withColumn("_r", F.row_number().over(ranked)).where(F.col("_r") <= k).drop("_r")
 
 
 def vote(neighbours: DataFrame) -> DataFrame:
@@ -130,6 +285,6 @@ def vote(neighbours: DataFrame) -> DataFrame:
     return counts.groupBy("query_id").agg(best["l"].alias("predicted"))
 
 
-def knn_predict(queries: DataFrame, train: DataFrame, id_col: str, k: int = 5) -> DataFrame:
-    found = vote(k_nearest(queries, train, id_col, k)).withColumnRenamed("query_id", id_col)
+def knn_predict(queries: DataFrame, train: DataFrame, id_col: str, k: int = 5, **sizes) -> DataFrame:
+    found = vote(k_nearest(queries, train, id_col, k, **sizes)).withColumnRenamed("query_id", id_col)
     return queries.join(found, id_col)

@@ -450,18 +450,29 @@ def _split(spark, d):
     return rows.where(F.col("split") == "train"), rows.where(F.col("split") == "test")
 
 
-@query(f"""WITH {TRAIN}, tc AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS r FROM tr) WHERE r <= 750),
+KNN = f"""WITH {TRAIN}, tc AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS r FROM tr) WHERE r <= 750),
 ds AS (SELECT te.vec_id, tc.vec_id AS row_id, tc.label, list_distance(CAST(te.embedding AS DOUBLE[]), CAST(tc.embedding AS DOUBLE[])) AS dist
        FROM te, tc),
 nn AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, row_id) AS r FROM ds),
 vo AS (SELECT vec_id, label, count(*) AS n FROM nn WHERE r <= 5 GROUP BY 1, 2)
-SELECT vec_id, CAST(arg_min(label, {{'a': -n, 'b': label}}) AS INTEGER) AS predicted FROM vo GROUP BY 1""")
+SELECT vec_id, CAST(arg_min(label, {{'a': -n, 'b': label}}) AS INTEGER) AS predicted FROM vo GROUP BY 1"""
+
+
+@query(KNN)
 def q_knn(spark, d):
     train, test = _split(spark, d)
     capped = ranking.cap_per_class(train, "label", "vec_id", DEFAULT.cap_per_class)
     return neighbours.knn_predict(test, capped, "vec_id").select("vec_id", "predicted")
 
 
+@query(KNN.replace(" WHERE r <= 750", ""))
+def q_knn_blocks(spark, d):
+    """All training rows, text ids, through the blocks that training sets beyond a broadcast are cut into."""
+    train, test = (rows.withColumn("vec_id", F.lpad(F.col("vec_id").cast("string"), 20, "0")) for rows in _split(spark, d))
+    found = neighbours.knn_predict(test, train, "vec_id", max_cells=0, block=500)
+    return found.select(F.col("vec_id").cast("long").alias("vec_id"), "predicted")
+
+
 MEANS = TRAIN + """, mc AS (SELECT label, unnest(range(0, 64)) AS idx, CAST(unnest(embedding) AS DOUBLE) AS v FROM tr),
 mm AS (SELECT label, idx, avg(v) AS c FROM mc GROUP BY 1, 2),
 tx AS (SELECT vec_id, label AS truth, unnest(range(0, 64)) AS idx, CAST(unnest(embedding) AS DOUBLE) AS v FROM te),
