@@ -59,14 +59,17 @@ def kept(hashes: Column, limit: str) -> Column:
 def with_sketch(rows: DataFrame, text: str, name: str, words: int = WORDS, fraction: float = FRACTION) -> DataFrame:
     """Adds the sketch of a text column as array<string>.
 
-    Words and hashes are columns of their own: both are used more than once, and within a
-    lambda an expression would be evaluated for every element.
+    Words and hashes are columns of their own, as both are used more than once. A filter on the sketch may still put their
+    expressions in its place, so no lambda refers to them: shingles are made of shifted copies of the words, element by element.
     """
     rows = rows.withColumn("__words", F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(WORD), F.lit(0)))
-    starts = F.sequence(F.lit(1), F.greatest(F.size("__words") - (words - 1), F.lit(1)))
-    shingle = lambda i: F.array_join(F.slice("__words", i, F.lit(words)), " ")
-    hashes = F.transform(starts, lambda i: F.substring(F.md5(shingle(i)), 1, DIGITS))
-    rows = rows.withColumn("__hashes", F.when(F.size("__words") > 0, hashes).otherwise(F.array().cast("array<string>")))
+    count = F.greatest(F.size("__words") - (words - 1), F.lit(0))
+    shifted = F.arrays_zip(*[F.slice("__words", F.lit(k + 1), count).alias(f"w{k}") for k in range(words)])
+    digits = lambda shingle: F.substring(F.md5(shingle), 1, DIGITS)
+    hashes = F.transform(shifted, lambda w: digits(F.concat_ws(" ", *[w[f"w{k}"] for k in range(words)])))
+    whole = F.array(digits(F.array_join("__words", " ")))
+    none = F.array().cast("array<string>")
+    rows = rows.withColumn("__hashes", F.when(count > 0, hashes).when(F.size("__words") > 0, whole).otherwise(none))
     return rows.withColumn(name, kept(F.col("__hashes"), limit_of(fraction))).drop("__words", "__hashes")
 
 
@@ -100,6 +103,15 @@ def as_text(sketch: str | Column) -> Column:
     return F.array_join(sketch, "")
 
 
+def packed(sketch: str | Column) -> Column:
+    """A sketch as bytes, for shuffles: a quarter of the array of texts."""
+    return F.unhex(as_text(sketch))
+
+
+def unpacked(data: str | Column) -> Column:
+    return F.regexp_extract_all(F.lower(F.hex(data)), F.lit("." * DIGITS), F.lit(0))
+
+
 def followed_by(docs: DataFrame, n_rows: int) -> DataFrame:
     """key, next_key, n_chars, copies of every distinct document (doc_id, text) in ascending order.
 
@@ -133,9 +145,9 @@ def with_next(docs: DataFrame, share: int = 4, words: int = WORDS, fraction: flo
     texts = rows.groupBy(F.concat(digest, id_text).alias("key")).agg(F.first(F.struct("doc_id", "text")).alias("doc"))
     asked = order.select(F.col("next_key").alias("key"), F.col("key").alias("to"), F.floor(F.col("n_chars") / share).cast("int").alias("take"))
     sent = with_sketch(texts.join(asked, "key").withColumn("text", F.col("doc.text")), "text", "next_sketch", words, fraction)
-    sent = sent.select(F.col("to").alias("key"), F.substring(F.col("text"), F.lit(1), F.col("take")).alias("head"), "next_sketch")
+    sent = sent.select(F.col("to").alias("key"), F.substring(F.col("text"), F.lit(1), F.col("take")).alias("head"), packed("next_sketch").alias("packed"))
     found = texts.join(order.select("key", "n_chars", "copies"), "key").join(sent, "key").select("*", "doc.*")
-    found = with_sketch(found, "text", "sketch", words, fraction)
+    found = with_sketch(found, "text", "sketch", words, fraction).withColumn("next_sketch", unpacked("packed"))
     # of equal rows, each but the last is followed by the next of them
     own = F.struct(
         F.substring(F.col("text"), F.lit(1), F.floor(F.col("n_chars") / share).cast("int")).alias("head"), F.col("sketch").alias("next_sketch"), (F.col("copies") - 1).alias("times")
