@@ -6,44 +6,63 @@ Everything that can be a Spark expression is one; only these steps are not.
 from __future__ import annotations
 
 import io
-import wave
+import math
 from functools import lru_cache
 
 import numpy as np
 
+from sigspark.functions import wav
 from sigspark.functions.arrays import mel_weights
 
 TINY = 1e-10
 BLOCK_FRAMES = 4096
+BLOCK_TARGETS = 65_536
+#: Zero crossings of the resampling filter on each side.
+ZEROS = 16
 
 
 def decode_wav(content: bytes) -> tuple[int, np.ndarray]:
-    """Sample rate and mono samples in -1..1 of PCM wav bytes; raises when unreadable."""
-    with wave.open(io.BytesIO(content)) as f:
-        rate, channels, size = f.getframerate(), f.getnchannels(), f.getsampwidth()
-        raw = f.readframes(f.getnframes())
-    if size == 1:  # unsigned
-        x = (np.frombuffer(raw, "u1").astype("float32") - 128) / 128
-    elif size == 2:
-        x = np.frombuffer(raw, "<i2").astype("float32") / 2**15
-    elif size == 3:
-        b = np.frombuffer(raw, "u1").reshape(-1, 3)
-        wide = np.zeros((len(b), 4), "u1")
-        wide[:, 1:] = b
-        x = wide.view("<i4")[:, 0].astype("float32") / 2**31
-    else:
-        x = np.frombuffer(raw, "<i4").astype("float32") / 2**31
-    if len(x) == 0:
+    """Sample rate and mono samples of wav bytes, PCM or float; raises when unreadable."""
+    head = wav.read_header(io.BytesIO(content), len(content))
+    if head.n_samples == 0:
         raise ValueError("no samples")
-    return rate, x.reshape(-1, channels).mean(axis=1)
+    return head.rate, wav.to_mono(content[head.data_start : head.data_start + head.n_samples * head.step], head)
+
+
+@lru_cache
+def sinc_phases(up: int, down: int, zeros: int = ZEROS) -> np.ndarray:
+    """Low-pass weights for a change of rate by up / down, a row per phase (Hann-windowed sinc of ``zeros`` zero crossings a side).
+
+    A target lies at source position base + phase / up; its weights belong to the sources base - reach + 1 ... base + reach, where
+    a row has 2 * reach of them. The pass band ends at the lower of the two Nyquist frequencies; every row sums to one.
+    """
+    cutoff = min(1.0, up / down)
+    reach = int(np.ceil(zeros / cutoff))
+    t = np.arange(1 - reach, reach + 1)[None, :] - np.arange(up)[:, None] / up
+    window = np.where(np.abs(t) < zeros / cutoff, 0.5 + 0.5 * np.cos(np.pi * t * cutoff / zeros), 0)
+    weights = np.sinc(cutoff * t) * window
+    return weights / weights.sum(1, keepdims=True)
+
+
+def rate_ratio(rate: int, wanted: int) -> tuple[int, int]:
+    common = math.gcd(rate, wanted)
+    return wanted // common, rate // common
 
 
 def resample(x: np.ndarray, rate: int, wanted: int) -> np.ndarray:
-    """Linear interpolation to another sample rate."""
+    """Band-limited change of the sample rate; silence is assumed before and after. Works off BLOCK_TARGETS targets at a time."""
     if rate == wanted:
         return x
-    n = int(np.ceil(len(x) * wanted / rate))
-    return np.interp(np.arange(n) * rate / wanted, np.arange(len(x)), x).astype("float32")
+    up, down = rate_ratio(rate, wanted)
+    weights = sinc_phases(up, down)
+    reach = weights.shape[1] // 2
+    near = np.lib.stride_tricks.sliding_window_view(np.pad(x, (reach - 1, reach)), 2 * reach)
+    n = -(-len(x) * up // down)
+    out = np.empty(n, "float32")
+    for at in range(0, n, BLOCK_TARGETS):
+        place = np.arange(at, min(at + BLOCK_TARGETS, n)) * down
+        out[at : at + len(place)] = np.einsum("ij,ij->i", near[place // up], weights[place % up])
+    return out
 
 
 @lru_cache

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sigspark.functions.arrays import lit_array
+from sigspark.functions.arrays import dot, lit_array
 from sigspark.session import stored
 
 MAX_BROADCAST_CELLS = 10_000_000
@@ -109,10 +109,9 @@ def with_coordinates(df: DataFrame, axes: np.ndarray) -> DataFrame:
     The distance of two rows' coordinates is never above the distance of the rows: the axes are
     orthonormal, and the lengths of two remainders differ by at most the length of their difference.
     """
-    dot = lambda axis: F.aggregate(F.zip_with("features", lit_array(axis), lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
-    df = df.withColumn("_p", F.array(*[dot(axis) for axis in axes.T.tolist()]))
-    square = lambda a: F.aggregate(a, F.lit(0.0), lambda s, v: s + v * v)
-    rest = F.sqrt(F.greatest(square(F.col("features")) - square(F.col("_p")), F.lit(0.0)))
+    df = df.withColumn("_p", F.array(*[dot(F.col("features"), lit_array(axis)) for axis in axes.T]))
+    square = lambda name: dot(F.col(name), F.col(name))
+    rest = F.sqrt(F.greatest(square("features") - square("_p"), F.lit(0.0)))
     return df.withColumn("_c", F.concat("_p", F.array(rest))).drop("_p")
 
 

@@ -12,7 +12,7 @@ from sigspark.functions.scalars import finite, stem
 from sigspark.operators import augment, catalog, clips, features, frames
 from sigspark.operators.segments import join_small
 from sigspark.session import stored
-from sigspark.sources import library, registry
+from sigspark.sources import library, registry, wav
 
 CATALOG = ["signal_id", "path", "file_stem", "label", "start_time", "end_time", "orig_duration", "new_duration"]
 
@@ -34,13 +34,18 @@ def describe_files(
     The files are read once and every step up to the stored table is
     row-local: samples never pass a shuffle, and the bytes of a file that its
     header or path already rules out are not decoded. ``training=False`` skips
-    label and length rules.
+    label and length rules. Without a column ``content`` (``library.list_clips``) the path decides
+    first, and only files that it leaves are opened.
     """
     s = settings
     label, rule = catalog.label_rules("path", words.classes, words.black, words.ignore, words.match, words.compat)
     none = F.lit(None).cast("string")
-    readable = library.looks_readable(F.col("content"))
-    early = F.when(~readable, "unreadable").otherwise(rule if training else none)
+    by_path = rule if training else none
+    late = "content" not in files.columns
+    if late:
+        files = library.with_content(files.withColumn("_open", by_path.isNull()), "_open")
+    unreadable = F.when(~library.looks_readable(F.col("content")), "unreadable")
+    early = F.coalesce(by_path, unreadable) if late else F.coalesce(unreadable, by_path)
     ruled = files.select(
         "signal_id",
         "path",
@@ -68,10 +73,18 @@ def split_outcome(described: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def build_catalog(
-    spark: SparkSession, root: str, run_id: str, *paths: str, settings: Settings = DEFAULT, words: Words = Words()
+    spark: SparkSession, root: str, run_id: str, *paths: str, settings: Settings = DEFAULT, words: Words = Words(), open_late: bool = False
 ) -> DataFrame:
-    """Describe a library, store catalog and rejects of the run, add its report; returns the described table."""
-    described = describe_files(library.scan_library(spark, *paths), settings, words)
+    """Describe a library, store catalog and rejects of the run, add its report; returns the described table.
+
+    ``open_late`` lists first and never opens a file that its path rules out, whether it could be read or not.
+    """
+    if open_late:
+        listed = library.list_clips(spark, *paths)
+        files = listed.repartition(max(1, -(-listed.count() // library.OPEN_FILES)), "path")
+    else:
+        files = library.scan_library(spark, *paths)
+    described = describe_files(files, settings, words)
     accepted, rejects = split_outcome(described)
     registry.write_dataset(accepted, root, "catalog", run_id)
     registry.write_dataset(rejects, root, "rejects", run_id)
@@ -100,11 +113,12 @@ def extract_features(described: DataFrame, settings: Settings = DEFAULT, mel: bo
 
 
 def augment_library(
-    spark: SparkSession, accepted: DataFrame, out: str, *paths: str, settings: Settings = DEFAULT, root: str = ""
+    spark: SparkSession, accepted: DataFrame, out: str, *paths: str, settings: Settings = DEFAULT, root: str = "", audio: str | None = None
 ) -> DataFrame:
     """Derive clips until every class is large enough; stores (new_name, label, method, factor, x).
 
-    Names are ``<factor>_<path>`` and never repeat.
+    Names are ``<factor>_<path>`` and never repeat. With ``audio`` the clips are also written as wav files into that
+    folder, all of them or none.
     """
     plan = augment.augment_plan(accepted.select("signal_id", "label"), "signal_id", "label", settings=settings)
     factor = F.when(F.col("method") == "pitch", F.format_string("%d", F.col("factor").cast("int"))).otherwise(
@@ -116,7 +130,10 @@ def augment_library(
     files = join_small(library.scan_library(spark, *paths).select("signal_id", "content"), jobs, ["signal_id"], "inner")
     decoded = library.decode(files, settings, onsets=False).where(F.col("status") == "ok").drop("status", "flux")
     clips.derive_clips(decoded, settings).write.mode("overwrite").parquet(out)
-    return spark.read.parquet(out)
+    made = spark.read.parquet(out)
+    if audio:
+        wav.write_wav(made.withColumnRenamed("new_name", "name"), audio, settings.sample_rate, mode="overwrite")
+    return made
 
 
 def store_features(spark: SparkSession, root: str, run_id: str, table: DataFrame) -> DataFrame:

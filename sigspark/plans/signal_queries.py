@@ -12,7 +12,8 @@ from sigspark.functions.summaries import summaries
 from sigspark.operators import catalog, features, frames, onsets, series
 from sigspark.operators.frames import KEY
 from sigspark.plans.book import query, rounded
-from sigspark.session import stored
+from sigspark.session import scratch_path, stored
+from sigspark.sources import wav
 from sigspark.sources.adapters import read, sig_events
 
 FRAME = 8
@@ -190,6 +191,31 @@ def q_resample_linear(spark, d):
     return rounded(series.resample_linear(sig_events(spark, d), 1.5))
 
 
+@query(f"""WITH {SIG}, k AS (SELECT signal_id, count(*) AS n FROM sig GROUP BY 1),
+t AS (SELECT signal_id, unnest(range(0, CAST(ceil(n * 2 / 3.0) AS BIGINT))) AS j FROM k),
+i AS (SELECT signal_id, j, j * 3 // 2 + i AS pos, i - (j * 3 % 2) / 2.0::DOUBLE AS u FROM t, range(-2, 4) r(i)),
+w AS (SELECT *, CASE WHEN abs(u) >= 3 THEN 0 WHEN u = 0 THEN 1
+        ELSE sin(pi() * u * 2 / 3) / (pi() * u * 2 / 3) * (0.5 + 0.5 * cos(pi() * u / 3)) END AS weight FROM i)
+SELECT w.signal_id, w.j, round(sum(weight * coalesce(x, 0)) / sum(weight), 6) AS x
+FROM w LEFT JOIN sig ON sig.signal_id = w.signal_id AND sig.pos = w.pos GROUP BY 1, 2""")
+def q_resample(spark, d):
+    """Two thirds of the rate, through a short filter."""
+    return rounded(series.resample(sig_events(spark, d), 2, 3, zeros=2, size=64))
+
+
+@query(f"WITH {SIG} SELECT signal_id, pos, CAST(x AS FLOAT) AS x, 8000 AS sample_rate FROM sig")
+def q_wav_round_trip(spark, d):
+    """Signals as float wav files of at most 4,096 samples, written by the sink and read by the source."""
+    parts = sig_events(spark, d).withColumn("part", F.floor(F.col("pos") / 4096))
+    clips = parts.groupBy(KEY, "part").agg(F.sort_array(F.collect_list(F.struct("pos", "x")))["x"].alias("x"))
+    out = scratch_path(spark, "clips")
+    wav.write_wav(clips.withColumn("name", F.concat_ws("_", KEY, "part", F.lit(".wav"))), out, 8000, "float")
+    read_back = wav.read_wav(spark, out, ["path", "sample_rate", "x"])
+    named = read_back.withColumn("name", F.split(F.element_at(F.split("path", "/"), -1), "_"))
+    rows = named.select(F.col("name")[0].cast("long").alias(KEY), F.col("name")[1].cast("long").alias("part"), "sample_rate", F.posexplode("x").alias("at", "x"))
+    return rows.select(KEY, (F.col("part") * 4096 + F.col("at")).alias("pos"), "x", "sample_rate")
+
+
 SPAN = """t AS (SELECT user_id AS signal_id, min(epoch_us(ts)) AS t0, max(epoch_us(ts)) AS t1, count(*) AS n,
   min(CASE WHEN event_type = 'click' THEN epoch_us(ts) END) AS c,
   max(CASE WHEN event_type = 'purchase' THEN epoch_us(ts) END) AS p FROM events GROUP BY 1),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,7 +13,10 @@ from pyspark.sql import types as T
 
 from sigspark.config import DEFAULT, Settings
 from sigspark.functions import dsp
+from sigspark.sources import wav
 
+#: Files of one Arrow batch, when their bytes are read.
+OPEN_FILES = 64
 DECODED = [
     T.StructField("status", T.StringType()),
     T.StructField("x", T.ArrayType(T.FloatType())),
@@ -54,6 +58,37 @@ def scan_keyed(spark: SparkSession, requested: DataFrame, *paths: str) -> DataFr
     return wanted.join(files, "path", "left").withColumn("signal_id", F.col("path"))
 
 
+def list_clips(spark: SparkSession, *paths: str) -> DataFrame:
+    """Listing of the wav files below the paths (signal_id, path, length); no file is opened."""
+    parts = [wav.read_wav(spark, path, ["path", "length"]) for path in paths]
+    return reduce(DataFrame.unionByName, parts).withColumn("signal_id", F.col("path"))
+
+
+def with_content(files: DataFrame, wanted: str) -> DataFrame:
+    """Adds ``content``, the bytes of the files whose column ``wanted`` is true; other files are not opened.
+
+    A file that has gone since the listing has empty content. Files are opened where their row is, so spread the listing first.
+    """
+    schema = T.StructType([f for f in files.schema.fields if f.name != wanted] + [T.StructField("content", T.BinaryType())])
+
+    def content(path: str) -> bytes:
+        fs, below = wav.open_path(path)
+        try:
+            with fs.open_input_file(below) as f:
+                return f.read()
+        except FileNotFoundError:
+            return b""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for at in range(0, len(pdf), OPEN_FILES):
+                part = pdf.iloc[at : at + OPEN_FILES]
+                held = [content(p) if w else None for p, w in zip(part["path"], part[wanted])]
+                yield part.drop(columns=wanted).assign(content=pd.Series(held, index=part.index, dtype=object))
+
+    return files.mapInPandas(run, schema)
+
+
 def looks_readable(content: Column) -> Column:
     """Cheap first test on the header bytes, before any Python."""
     text = F.decode(F.substring(content, 1, 12), "ISO-8859-1")
