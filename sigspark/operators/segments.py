@@ -4,7 +4,7 @@ A series (one key: a signal, a class, a user) may hold a large share of all
 rows, so nothing here brings a whole key into one task:
 
 * ``with_positions``  ranks rows in their key; a heavy key is cut into ranges
-  of the order column and each range is ranked alone, plus the rows before it.
+  of about equal size and each range is ranked alone, plus the rows before it.
 * ``chunked``         cuts a ranked series into fixed-size chunks.
 * ``with_halo``       copies rows near a chunk edge into the neighbour chunk, so
   windows over (key, chunk) see the same neighbours as windows over key.
@@ -18,15 +18,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from sigspark.functions.scalars import micros
-
 MAX_LOCAL_ROWS = 100_000
 HEAVY_ROWS = 1_000_000
 CHUNK = 500_000
 SALTS = 64
+#: Sampled rows for every piece of a heavy key.
+EDGE_SAMPLE = 64
 
 
 def local_table(df: DataFrame, max_rows: int = MAX_LOCAL_ROWS) -> DataFrame | None:
@@ -53,42 +52,46 @@ def join_small(
     return spread.join(salted, [*on, "_salt"], how).drop("_salt")
 
 
-def _order_number(df: DataFrame, order: str, prefix: Column | int = 0) -> Column:
-    """A number that never falls along ``order``; text counts from after its common ``prefix``."""
-    kind = df.schema[order].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return micros(df, order).cast("double")
-    if isinstance(kind, T.StringType):
-        tail = F.substring(_hex(order), F.lit(prefix) + 1 if isinstance(prefix, int) else prefix + 1, F.lit(12))
-        return F.conv(F.rpad(tail, 12, "0"), 16, 10).cast("double")
-    return F.col(order).cast("double")
-
-
-def _hex(text: str) -> Column:
-    return F.hex(F.encode(F.col(text), "utf-8"))
+def _place(order: str, ties: tuple[str, ...], columns: list[str]) -> Column:
+    """What rows of a heavy key are sorted by: order, ties, and a hash of the row where these are equal."""
+    return F.struct(F.col(order).alias("o"), *[F.col(t).alias(f"t{i}") for i, t in enumerate(ties)], F.xxhash64(*columns).alias("h"))
 
 
-def _common_prefix(a: str, b: str) -> Column:
-    """Length of what two texts start with."""
-    same = lambda n, i: F.when((n == i - 1) & (F.substring(a, i, F.lit(1)) == F.substring(b, i, F.lit(1))), i).otherwise(n)
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.least(F.length(a), F.length(b)), F.lit(1))), F.lit(0), same)
+def _edges(known: DataFrame, keys: list[str], heavy_rows: int) -> DataFrame:
+    """Per heavy key the sorted places (``_place``) at which its pieces start, as arrays ``_e1``; every 16th and 256th of them in ``_e16`` and ``_e256``.
 
-
-def _with_pieces(df: DataFrame, keys: list[str], order: str, heavy: DataFrame, heavy_rows: int) -> DataFrame:
-    """Add ``_piece``: the range of the order value a row of a heavy key falls in, 0 for other keys."""
-    known = df.join(F.broadcast(heavy), keys)
-    prefix: Column | int = 0
-    if isinstance(df.schema[order].dataType, T.StringType):
-        ends = known.groupBy(*keys).agg(F.min(_hex(order)).alias("_a"), F.max(_hex(order)).alias("_b"))
-        heavy = local_table(heavy.join(ends, keys).select(*keys, "_n", _common_prefix("_a", "_b").alias("_skip")))
-        known, prefix = df.join(F.broadcast(heavy), keys), F.col("_skip")
-    value = _order_number(df, order, prefix)
-    ends = known.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    width = (F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") * 4 / heavy_rows)
-    ranges = local_table(heavy.join(ends, keys).withColumn("_width", width).drop("_n", "_hi"))
-    piece = F.when(F.col("_width") > 0, F.floor((value - F.col("_lo")) / F.col("_width")))
-    cut = df.join(F.broadcast(ranges), keys, "left").withColumn("_piece", F.coalesce(piece, F.lit(0)))
-    return cut.withColumn("_heavy", F.col("_lo").isNotNull()).select(*df.columns, "_piece", "_heavy")
+    Places come from a sample of the rows, EDGE_SAMPLE for every piece, taken by a hash: samples of parts of a table merge into that
+    of the table, and the same rows are taken whatever the partitions. With about heavy_rows / 4 rows a piece, a piece is
+    off by one part in sqrt(EDGE_SAMPLE), however skewed the order values are.
+    """
+    slots = 1 << 30
+    taken = int(min(1.0, 4 * EDGE_SAMPLE / heavy_rows) * slots)
+    sample = known.where(F.pmod(F.xxhash64(F.lit(heavy_rows), F.col("_place")), F.lit(slots)) < taken)
+    inside = Window.partitionBy(*keys)
+    ranked = sample.withColumn("_r", F.row_number().over(inside.orderBy("_place"))).withColumn("_s", F.count(F.lit(1)).over(inside))
+    pieces = F.ceil(F.col("_n") * 4 / heavy_rows)
+    step = lambda r: F.floor(r * pieces / F.col("_s"))
+    # a piece starts at the first sampled row of each share
+    starts = ranked.where((F.col("_r") > 1) & (step(F.col("_r") - 1) != step(F.col("_r") - 2)))
+    held = starts.groupBy(*keys).agg(F.array_sort(F.collect_set("_place")).alias("_e1"))
+    every = lambda n: F.filter("_e1", lambda _, i: i % n == n - 1)
+    return held.withColumn("_e16", every(16)).withColumn("_e256", every(256))
+
+
+def _with_pieces(df: DataFrame, keys: list[str], order: str, heavy: DataFrame, heavy_rows: int, ties: tuple[str, ...] = ()) -> DataFrame:
+    """Add ``_piece``: the range of places a row of a heavy key falls in, 0 for other keys."""
+    place = _place(order, ties, df.columns)
+    known = df.select(*keys, place.alias("_place")).join(F.broadcast(heavy), keys)
+    # one row per heavy key, about four places for every heavy_rows rows
+    edges = heavy.join(local_table(_edges(known, keys, heavy_rows)), keys, "left").drop("_n")
+    placed = df.withColumn("_place", place).join(F.broadcast(edges.withColumn("_heavy", F.lit(True))), keys, "left")
+    # how many edges are not above the place: in steps of 256, 16 and 1
+    upto = lambda a: F.size(F.filter(a, lambda e: e <= F.col("_place")))
+    placed = placed.withColumn("_far", upto(F.col("_e256")))
+    placed = placed.withColumn("_mid", F.col("_far") * 16 + upto(F.slice("_e16", F.col("_far") * 16 + 1, F.lit(16))))
+    piece = F.col("_mid") * 16 + upto(F.slice("_e1", F.col("_mid") * 16 + 1, F.lit(16)))
+    cut = placed.withColumn("_piece", F.when(F.col("_e1").isNotNull(), piece).otherwise(0).cast("long"))
+    return cut.withColumn("_heavy", F.coalesce("_heavy", F.lit(False))).select(*df.columns, "_piece", "_heavy")
 
 
 def with_positions(
@@ -103,9 +106,9 @@ def with_positions(
 
     First pass: count rows per key (combined before the shuffle) and keep the
     heavy keys; there are at most rows / heavy_rows of them. Without any, this
-    is a plain window. Otherwise heavy keys are cut into equal ranges of the
-    order value, ranges are ranked alone, and each adds the row count of the
-    ranges before it.
+    is a plain window. Otherwise heavy keys are cut into ranges of (order, ties, row hash) of
+    about equal size (``_edges``), ranges are ranked alone, and each adds the row count of the
+    ranges before it. Equal order values are cut as well, only equal rows stay together.
     """
     keys, heavy_rows = list(keys), heavy_rows or HEAVY_ROWS
     if not keys:
@@ -120,7 +123,7 @@ def with_positions(
         w = Window.partitionBy(*keys).orderBy(*sort)
         return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
 
-    cut = _with_pieces(df, keys, order, heavy, heavy_rows)
+    cut = _with_pieces(df, keys, order, heavy, heavy_rows, ties)
     before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         cut.where("_heavy")
@@ -129,9 +132,9 @@ def with_positions(
         .withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
         .drop("_rows")
     )
-    # at most 4 * rows / heavy_rows + 2 per heavy key
+    # at most 4 * rows / heavy_rows + 1 per heavy key
     cut = join_small(cut, starts, [*keys, "_piece"], max_rows=10 * MAX_LOCAL_ROWS)
-    w = Window.partitionBy(*keys, "_piece").orderBy(*sort)
+    w = Window.partitionBy(*keys, "_piece").orderBy(*sort, F.when(F.col("_heavy"), F.xxhash64(*df.columns)))
     rank = F.row_number().over(w) - 1 + F.coalesce(F.col("_start"), F.lit(0))
     return cut.withColumn(out, rank.cast("long")).select(*df.columns, out)
 

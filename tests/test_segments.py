@@ -155,3 +155,44 @@ def test_vocoder_tables_match_numpy(spark):
         assert np.allclose(table, want, atol=1e-5)
     same = vocoder.pitch_shift(points, 0.0, size=10).toPandas().sort_values(["signal_id", "pos"])
     assert np.allclose(same[same.signal_id == "b"]["x"][4:-8], signals["b"][4:-8], atol=1e-6)
+
+
+def pieces_of(df, order, ties=(), heavy_rows=400):
+    heavy = segments.local_table(df.groupBy("k").agg(F.count(F.lit(1)).alias("_n")).where(f"_n > {heavy_rows}"))
+    return segments._with_pieces(df, ["k"], order, heavy, heavy_rows, ties)
+
+
+@pytest.mark.parametrize("kind", ["outlier", "exponential", "constant", "constant without ties", "text", "nulls", "few values"])
+def test_pieces_of_a_heavy_key_are_of_one_size(spark, kind):
+    rows = spark.range(20_000).withColumn("k", F.when(F.col("id") % 10 == 0, F.col("id") % 100).otherwise(7))
+    orders = {
+        "outlier": F.when(F.col("id") == 5, 1e15).otherwise(F.col("id") / 7),
+        "exponential": F.exp(F.col("id") / 500),
+        "constant": F.lit(3.0),
+        "constant without ties": F.lit(3.0),
+        "text": F.concat(F.lit("s3://a/very/long/prefix/"), F.when(F.col("id") % 2 == 0, "é").otherwise("z"), F.col("id").cast("string")),
+        "nulls": F.when(F.col("id") % 3 > 0, F.col("id") % 5),
+        "few values": F.when(F.col("id") % 100 < 90, 1).otherwise(F.col("id") % 4),
+    }
+    df = rows.withColumn("o", orders[kind])
+    ties = () if kind == "constant without ties" else ("id",)
+    sizes = [r["count"] for r in pieces_of(df, "o", ties).where("_heavy").groupBy("k", "_piece").count().collect()]
+    assert sum(sizes) == 18_000 and len(sizes) >= 170 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+    got = segments.with_positions(df, ["k"], "o", ties, heavy_rows=400)
+    assert got.groupBy("k").agg(F.countDistinct("pos").alias("d"), F.min("pos").alias("a"), F.max("pos").alias("b"), F.count(F.lit(1)).alias("n")).where("a != 0 or b != n - 1 or d != n").isEmpty()
+    if ties:
+        want = df.withColumn("pos", (F.row_number().over(Window.partitionBy("k").orderBy("o", "id")) - 1).cast("long"))
+        assert got.exceptAll(want).isEmpty()
+
+
+def test_sampled_edges_of_a_large_key(spark, monkeypatch):
+    monkeypatch.setattr(segments, "EDGE_SAMPLE", 32)
+    df = spark.range(400_000).select(F.lit(1).alias("k"), F.exp(F.col("id") / 20_000).alias("o"), "id")
+    sizes = [r["count"] for r in pieces_of(df, "o", ("id",), 4_000).groupBy("_piece").count().collect()]
+    assert 390 <= len(sizes) <= 401 and max(sizes) <= 2 * 400_000 / len(sizes)
+
+
+def test_equal_rows_stay_together_and_are_ranked(spark):
+    df = spark.range(3000).select(F.lit(1).alias("k"), F.lit(2).alias("o"))
+    got = segments.with_positions(df, ["k"], "o", heavy_rows=100)
+    assert sorted(r.pos for r in got.collect()) == list(range(3000))
