@@ -14,7 +14,7 @@ input. Of two bins open at the end of a part at most one is half empty, so
 a part wastes little.
 
 Defined cases: null and empty texts are one piece with the closing id only;
-strings of special tokens in a text are ordinary text; repeated rows are packed
+a string of a special token in a text has that token's id, as the tokenizer library gives it; repeated rows are packed
 each; a row without doc_id is packed like others; an empty table gives an
 empty result; other columns are ignored.
 """
@@ -22,6 +22,7 @@ empty result; other columns are ignored.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -40,6 +41,8 @@ OPEN = 512
 PART = 250_000
 #: Chunks of text whose ids a worker remembers, twice at most.
 REMEMBERED = 100_000
+
+
 class OddSpace(Exception):
     """A chunk that doesn't begin and end with visible characters."""
 
@@ -53,19 +56,19 @@ class Encoder:
 
     The vocabulary file's tokens, ranked by id, drive the fast encoder; the
     first chunks of a worker are compared with the file's own library, which
-    takes over if the file's merges aren't ranked by id.
+    takes over if the file's merges aren't ranked by id. A text that holds one of the file's
+    special strings is the library's work from the start: it gives such a string one id.
     """
 
     def __init__(self, file: bytes):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.own = Tokenizer.from_str(file.decode())
-        self.own.encode_special_tokens = True
+        self.file, self.own = file, None
         spec = json.loads(file)
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
         signs = {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in visible)}
         special = {t["content"] for t in spec.get("added_tokens", [])}
+        self.special = re.compile("|".join(re.escape(t) for t in sorted(special, key=len, reverse=True)) or r"(?!)")
         ranks = {bytes(signs[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
         # Fixed value: the word pattern of byte-level BPE
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -74,18 +77,26 @@ class Encoder:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def library(self, text: str) -> list[int]:
+        """Ids by the file's own library."""
+        if self.own is None:
+            from tokenizers import Tokenizer
+
+            self.own = Tokenizer.from_str(self.file.decode())
+        return self.own.encode(text, add_special_tokens=False).ids
+
     def ids(self, text: str) -> list[int]:
         if not self.agree:
-            return self.own.encode(text, add_special_tokens=False).ids
+            return self.library(text)
         found = self.fast.encode_ordinary(text)
-        if self.own is not None:
+        if self.tested < 1000:
             self.tested += 1
-            own = self.own.encode(text, add_special_tokens=False).ids
+            own = self.library(text)
             if own != found:
                 self.agree, self.young, self.old = False, {}, {}
                 return own
-            if self.tested >= 1000:
-                self.own = None  # its memory is given back
+            if self.tested == 1000:
+                self.own = None  # its memory is given back, until a special string needs it
         return found
 
     def chunk(self, chunk: str) -> bytes:
@@ -102,6 +113,8 @@ class Encoder:
         return data
 
     def encode(self, text: str) -> bytes:
+        if self.special.search(text):
+            return packed_ids(self.library(text))
         first, *chunks = text.split(" ")
         if not chunks or not first or first[-1].isspace():
             return packed_ids(self.ids(text))

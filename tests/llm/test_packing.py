@@ -15,9 +15,7 @@ SCHEMA = "doc_id long, text string, length string, piece string, `offset` int"
 
 @pytest.fixture(scope="module")
 def own():
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(PATH)
 
 
 def frame(spark, rows):
@@ -26,7 +24,7 @@ def frame(spark, rows):
 
 ODD = [
     None, "", " ", "  a", " a b", "a  b", "a \n b", "a\tb c", "a b  c d", "x  y z\n", "'s it's don't  we'll", "<|endoftext|> a <|endoftext|>", "é ñ 日本 \U0001d518 x",
-    "a b ", "a\r\n b c", "a b c  d", "one two three", "word " * 5000, "w" * 20_000, " \x1c x", "a\x0bb c", "1 22 333,4 5.5",
+    "a b ", "a\r\n b c", "a b c  d", "one two three", "word " * 5000, "a<|endoftext|>b", "x <|endoftext|>\n<|endoftext|> y z " * 500, "<|endoftext|", "<|endoftext|>", "w" * 20_000, " \x1c x", "a\x0bb c", "1 22 333,4 5.5",
 ]
 
 
@@ -79,6 +77,17 @@ def test_parts_pack_alone_and_alike(spark):
     assert sorted(one) == sorted(two)
 
 
+def test_special_strings_after_the_first_chunks(own):
+    """Once the library's memory is given back, a special string brings it back."""
+    encode = packing.Encoder(open(PATH, "rb").read())
+    for k in range(1100):
+        encode.encode(f"word{k}")
+    assert encode.own is None and encode.agree
+    text = "a<|endoftext|>b word7"
+    assert encode.encode(text) == packing.packed_ids(own.encode(text, add_special_tokens=False).ids)
+    assert packing.packed_ids([64, 50256, 65]) == encode.encode("a<|endoftext|>b")
+
+
 def test_bins_follow_best_fit(spark):
     """Every placement is the fullest bin that fits; the fullest closes when a new one needs room."""
     rnd = random.Random(1)
