@@ -6,14 +6,14 @@ Base spans, leftmost and non-overlapping for each kind:
 * ``access``: ``AKIA`` and upper-case letters or digits, 16 or more characters in all;
 * ``hex``: 32 or more lower-case hexadecimal digits.
 
-The method adds spans of kind ``random``: runs of RUN or more characters of
-ALPHABET outside base spans, whose log-likelihood under a first-order Markov
+The method adds spans of kind ``random``: runs of characters of ALPHABET, without the parts that base spans cover; what is left in
+pieces of RUN or more characters, and whose log-likelihood under a first-order Markov
 model of random strings exceeds that under one of ordinary identifiers by MARGIN.
 
 The models are trained from labelled samples (``text``, ``label``: 1 random, 0
 ordinary). ``corpus_samples`` labels values found by the base patterns and
-digests of a range of numbers 1, and words of the corpus and the names and
-descriptions of Spark's functions and settings 0; it reads about TRAIN_DOCS documents picked by a hash of doc_id.
+digests of a range of numbers 1, and words of the corpus and identifiers made of NAME_WORDS
+0; it reads about TRAIN_DOCS documents picked by a hash of doc_id. Nothing of it depends on the session or on Spark's version.
 Everything else reads every row and the whole text. All of it is DataFrame
 functions: the model reaches the tasks as a constant array of
 len(ALPHABET)**2 numbers.
@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sigspark.llm.common import text_of
@@ -44,8 +44,20 @@ RUN = 20
 #: Log odds against a run being a secret, before its characters are seen.
 MARGIN = 9.2
 TRAIN_DOCS = 4000
-#: How often each English identifier counts, against the words of the corpus.
-NAME_WEIGHT = 10
+#: How many identifiers are made, and how often each counts against the words of the corpus.
+NAMES, NAME_WEIGHT = 8192, 10
+# English words that names in programs are made of; the labelled ordinary samples.
+NAME_WORDS = """
+abstract action adapter after amount argument attribute average balance before boolean branch builder button cache callback change channel child class
+client collection color command complete connection contact control convert count country create current date default delay describe detail device
+disable display document download driver duration editor element email empty enable entry error event example execute expression extension failure
+field file first folder format function generate group height helper history import index information insert instance interval iterator keyboard label
+last layout length library limit list local location logger machine maximum member message method minimum month mouse network node number object
+output package page parent path pattern percent person picture pointer policy position previous price primary private process product progress project
+property provider public publish quantity query queue range reader record region register remote replace report response retry return revision route
+rule schema search second select server service session size source space start state storage style summary switch target task template thread time
+title transform tree trigger unit update upload user utility validate vector vendor version view visible warning width window worker write year zone
+"""
 MASK = "[SECRET]"
 SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
 
@@ -89,6 +101,18 @@ def with_base(rows: DataFrame, text: Column) -> DataFrame:
     return with_matches(rows, text, HEX, "__hex")
 
 
+def made_names(spark: SparkSession, n: int = NAMES) -> DataFrame:
+    """``n`` identifiers of two to seven words that a hash picks, in the usual spellings."""
+    words = F.split(F.lit(" ".join(NAME_WORDS.split())), " ")
+    places = F.sequence(F.lit(1), 2 + F.pmod(F.xxhash64("id"), F.lit(6)).cast("int"))
+    picked = F.transform(places, lambda k: F.element_at(words, (F.pmod(F.xxhash64("id", k), F.size(words).cast("long")) + 1).cast("int")))
+    rows = spark.range(n).withColumn("w", picked)
+    joined = lambda sign: F.array_join("w", sign)
+    camel = F.array_join(F.transform("w", lambda w: F.initcap(w)), "")
+    spellings = [joined("_"), joined("-"), joined("/"), camel, F.concat(F.element_at("w", 1), F.array_join(F.transform(F.slice("w", F.lit(2), F.size("w")), lambda w: F.initcap(w)), "")), F.upper(joined("_"))]
+    return rows.select(F.element_at(F.array(*spellings), (F.pmod("id", F.lit(len(spellings))) + 1).cast("int")).alias("text"))
+
+
 def corpus_samples(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """Labelled strings (text, label) from about ``train_docs`` documents and from rules."""
     spark = docs.sparkSession
@@ -103,12 +127,7 @@ def corpus_samples(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     secrets_seen = found.select(F.explode(values).alias("text"), F.lit(1).alias("label"))
     plain = found.filter((F.size("__assign") == 0) & (F.size("__access") == 0) & (F.size("__hex") == 0))
     words = plain.select(F.explode(F.regexp_extract_all("__text", F.lit("[A-Za-z_-]{4,}"), F.lit(0))).alias("text"), F.lit(0).alias("label"))
-    # English identifiers: names of functions, parts of setting names, and the settings' descriptions joined in four ways
-    said = spark.sql("SET -v").select("key", F.regexp_replace("meaning", "[^A-Za-z]+", " ").alias("meaning"))
-    joined = [F.replace("meaning", F.lit(" "), F.lit(c)) for c in "_-/"] + [F.replace(F.initcap("meaning"), F.lit(" "), F.lit(""))]
-    names = spark.sql("SHOW FUNCTIONS").select(F.col("function").alias("text"))
-    names = names.union(said.select(F.explode(F.split("key", r"\.")))).union(said.select(F.explode(F.array(*joined))))
-    names = names.select("text", F.lit(0).alias("label"), F.explode(F.sequence(F.lit(1), F.lit(NAME_WEIGHT)))).select("text", "label")
+    names = made_names(spark).select("text", F.lit(0).alias("label"), F.explode(F.sequence(F.lit(1), F.lit(NAME_WEIGHT)))).select("text", "label")
     digest = F.sha2(F.col("id").cast("string"), 256)
     made = spark.range(4096).select(
         F.explode(F.array(F.base64(F.unhex(digest)), F.substring(digest, 1, 40), F.upper(F.substring(digest, 1, 32)))).alias("text"), F.lit(1).alias("label")
@@ -144,6 +163,24 @@ def log_ratio(text: Column, model: Column) -> Column:
     return F.aggregate(F.zip_with(first, second, lambda i, j: F.element_at(model, i * n + j + 1)), F.lit(0.0), lambda acc, x: acc + x)
 
 
+def uncovered(run: Column, base: Column) -> Column:
+    """The pieces of a run, of RUN or more characters, that none of the sorted ``base`` spans covers."""
+    over = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+    piece = lambda start, end: F.struct(start.alias("start"), end.alias("end"))
+    begin = F.struct(F.array().cast("array<struct<start:bigint,end:bigint>>").alias("done"), run["start"].alias("at"))
+    step = lambda acc, b: F.struct(
+        F.when(b["start"] >= acc["at"] + RUN, F.concat(acc["done"], F.array(piece(acc["at"], b["start"])))).otherwise(acc["done"]).alias("done"),
+        F.greatest(acc["at"], b["end"]).alias("at"),
+    )
+    rest = lambda acc: F.when(
+        run["end"] >= acc["at"] + RUN, F.concat(acc["done"], F.array(piece(acc["at"], run["end"])))
+    ).otherwise(acc["done"])
+    value = lambda p: F.substring(run["value"], (p["start"] - run["start"] + 1).cast("int"), (p["end"] - p["start"]).cast("int"))
+    cut = F.transform(F.aggregate(over, begin, step, rest), lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), value(p).alias("value")))
+    # most runs meet no base span and are one piece
+    return F.when(F.size(over) > 0, cut).otherwise(F.array(F.struct(run["start"].alias("start"), run["end"].alias("end"), run["value"].alias("value"))))
+
+
 def with_spans(rows: DataFrame, text: Column, model: list[float]) -> DataFrame:
     """Adds __base and __spans: sorted (start, kind, end) of the base kinds, and of all."""
     rows = with_base(rows, text)
@@ -153,8 +190,8 @@ def with_spans(rows: DataFrame, text: Column, model: list[float]) -> DataFrame:
     runs = "[A-Za-z0-9+/_=-]{" + str(RUN) + ",}"
     rows = with_matches(rows, text, runs, "__runs")
     table = F.from_json(F.lit(json.dumps(model)), "array<double>")
-    free = F.filter("__runs", lambda m: ~F.exists("__base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    rows = rows.withColumn("__random", F.filter(free, lambda m: log_ratio(m["value"], table) > MARGIN))
+    rows = rows.withColumn("__free", F.flatten(F.transform("__runs", lambda m: uncovered(m, F.col("__base")))))
+    rows = rows.withColumn("__random", F.filter("__free", lambda m: log_ratio(m["value"], table) > MARGIN)).drop("__free")
     return rows.withColumn("__spans", F.array_sort(F.concat("__base", tag("__random", 3).cast(SPAN))))
 
 

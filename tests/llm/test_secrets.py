@@ -23,9 +23,12 @@ def base_by_hand(text):
 
 def random_by_hand(text, model, base):
     n, out = len(secrets.ALPHABET), []
-    for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text or ""):
-        if any(s < m.end() and m.start() < e for s, _, e in base):
-            continue
+    text = text or ""
+    covered = [False] * len(text)
+    for s, _, e in base:
+        covered[s:e] = [True] * (e - s)
+    hidden = "".join(" " if c else x for c, x in zip(covered, text))
+    for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", hidden):
         at = [secrets.ALPHABET.index(c) for c in m[0]]
         if math.fsum(model[i * n + j] for i, j in zip(at, at[1:])) > secrets.MARGIN:
             out.append((m.start(), 3, m.end()))
@@ -43,7 +46,8 @@ def texts():
     out = [
         None, "", "no secrets here", 'token = "abc"', 'token="abcdefgh"', "PassWord:  'hunter22x'", "token=secret: abcdefghijkl", "api_key==abcdefgh apikey:abcdefgh",
         "AKIA" + "A" * 11, "AKIA" + "B" * 12, "xxAKIAAKIAAKIAAKIA9z", "0" * 31, "0" * 32 + "g" + "f" * 40, f"é\U0001d518 token = {key(20)} \U0001d518 AKIA{'Z' * 16} é",
-        "secret: " + "a1" * 40, "x" * 200_000 + " token=abcdefgh " + "y" * 200_000, "token=abcdefgh\n" * 700, "token = 'a.b/c+d=e-f_g'", key(40), f"see {key(44)}== and {key(64)}",
+        "secret: " + "a1" * 40, f"AKIA{'Q' * 16}/{key(40)}", f"{'0a' * 16}_{key(40)}", f"{key(30)}+{'0a' * 16}-{key(25)}={'1b' * 20}/{key(10)}", f"token={key(20)}.{key(30)}",
+        f"{key(40)}_AKIA{'0' * 40}", "x" * 200_000 + " token=abcdefgh " + "y" * 200_000, "token=abcdefgh\n" * 700, "token = 'a.b/c+d=e-f_g'", key(40), f"see {key(44)}== and {key(64)}",
         *plain, *(f"{rnd.choice(plain)} password={key(12)} {key(33)} {key(32, '0123456789abcdef')} {rnd.choice(plain)}" for _ in range(40)),
     ]
     return list(enumerate(out))
@@ -106,6 +110,26 @@ def test_models_tell_random_from_ordinary(spark, model):
     assert sum(got[i] for i in range(200, 400)) <= 2
 
 
+def test_what_is_left_beside_a_base_span_is_scanned(spark, model):
+    key = "q7Xw2ZpLk9VtRb4NsJ1yHd8GcF3mTa6QeU5oIiPx"
+    rows = [(0, f"AKIA{'A' * 16}/{key}"), (1, f"{'0123456789abcdef' * 2}_{key}"), (2, key)]
+    got = {r.doc_id: r.spans for r in secrets.secrets(frame(spark, rows), model).collect()}
+    assert got == {0: "access:0:20,random:20:61", 1: "hex:0:32,random:32:73", 2: "random:0:40"}
+    assert all(key not in r.text for r in secrets.masked(frame(spark, rows), model).collect())
+
+
+def test_samples_do_not_depend_on_the_session(spark):
+    names = lambda: sorted(r.text for r in secrets.made_names(spark, 500).collect())
+    before = names()
+    spark.udf.register("some_registered_function", lambda x: x)
+    spark.conf.set("spark.some.setting.of.the.session", "x")
+    try:
+        assert names() == before and len(set(before)) > 450
+        assert all(set(t) <= set(secrets.ALPHABET) for t in before)
+    finally:
+        spark.conf.unset("spark.some.setting.of.the.session")
+
+
 def test_whole_table_and_empty_table(spark, model):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     for r, d in zip(secrets.secrets(docs, model).orderBy("doc_id").collect(), docs.orderBy("doc_id").collect()):
