@@ -206,7 +206,9 @@ def prefix_trie(
         bases = [pow(BASES[(i + attempt) % len(BASES)], attempt + 1, prime) for i, prime in enumerate(some)]
         if any(b == 0 for b in bases):
             continue
-        found = stored(prefixes(running_products(turns, some, bases, size), plan, some, bases, size), "prefixes")
+        # written: prefixes are composed from four readings of the products
+        products = stored(running_products(turns, some, bases, size), "products")
+        found = stored(prefixes(products, plan, some, bases, size), "prefixes")
         nodes = verified(found)
         if nodes is not None:
             break
