@@ -21,10 +21,11 @@ def split_by_hash(
     seed: int,
     by: list[str] | None = None,
     names: tuple[str, str] = ("test", "train"),
+    per_group: DataFrame | None = None,
 ) -> DataFrame:
     """Give the first ``wanted`` rows in hash order to ``names[0]``, per group.
 
-    ``wanted`` is an expression of ``n``, the rows of the group. The row where
+    ``wanted`` is an expression of ``n``, the rows of the group, and of the columns of ``per_group``. The row where
     the count is reached is found from a histogram of hash slots and a ranking
     of the one slot it falls in; all rows are then compared with it.
     """
@@ -36,6 +37,8 @@ def split_by_hash(
     whole = Window.partitionBy(*keys)
     upto = whole.orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
     counted = slots.withColumn("n", F.sum("_rows").over(whole)).withColumn("_upto", F.sum("_rows").over(upto))
+    if per_group is not None:
+        counted = join_small(counted, per_group, keys)
     counted = counted.withColumn("_wanted", wanted.cast("long"))
     edge_slot = counted.where(
         (F.col("_upto") >= F.col("_wanted")) & (F.col("_upto") - F.col("_rows") < F.col("_wanted"))
@@ -61,6 +64,28 @@ def stratified_split(df: DataFrame, id_col: str, label: str, share: float, seed:
     return split_by_hash(df, id_col, F.round(F.col("n") * share), seed, [label], ("validation", "train"))
 
 
+def apportion(counts: DataFrame, label: str, share: float) -> DataFrame:
+    """(label, quota): ceil(share * rows) rows shared out over the classes of ``counts`` (label, n) in proportion.
+
+    Every class gets the whole part of its due; what is left goes to the largest remainders, one each, ties to the
+    smaller label. Remainders are integers, so nothing depends on rounding.
+    """
+    whole = counts.agg(F.sum("n").cast("long").alias("_n"))
+    counts = counts.crossJoin(F.broadcast(whole)).withColumn("_total", F.ceil(F.col("_n") * share).cast("long"))
+    due = F.col("_total") * F.col("n")
+    rest = F.pmod(due, F.col("_n"))
+    parts = counts.withColumns({"_base": ((due - rest) / F.col("_n")).cast("long"), "_less": -rest})
+    spare = parts.agg((F.max("_total") - F.sum("_base")).alias("_spare"))
+    ranked = with_positions(parts, [], "_less", (label,), "_rank").crossJoin(F.broadcast(spare))
+    return ranked.select(label, (F.col("_base") + (F.col("_rank") < F.col("_spare")).cast("long")).alias("quota"))
+
+
+def apportioned_split(df: DataFrame, id_col: str, label: str, share: float, seed: int) -> DataFrame:
+    """ceil(share * n) rows become ``validation``, shared out over the classes by largest remainders."""
+    quotas = apportion(class_counts(df, label), label, share)
+    return split_by_hash(df, id_col, F.col("quota"), seed, [label], ("validation", "train"), quotas)
+
+
 def cap_per_class(df: DataFrame, label: str, order: str, n: int) -> DataFrame:
     """The first n rows of each class.
 

@@ -12,7 +12,7 @@ from sigspark.functions.scalars import finite, stem
 from sigspark.operators import augment, catalog, clips, features, frames
 from sigspark.operators.segments import join_small
 from sigspark.session import stored
-from sigspark.sources import library, registry, wav
+from sigspark.sources import library, registry, snapshots, wav
 
 CATALOG = ["signal_id", "path", "file_stem", "label", "start_time", "end_time", "orig_duration", "new_duration"]
 
@@ -75,7 +75,7 @@ def split_outcome(described: DataFrame) -> tuple[DataFrame, DataFrame]:
 def build_catalog(
     spark: SparkSession, root: str, run_id: str, *paths: str, settings: Settings = DEFAULT, words: Words = Words(), open_late: bool = False
 ) -> DataFrame:
-    """Describe a library, store catalog and rejects of the run, add its report; returns the described table.
+    """Describe a library, store catalog, rejects and report of the run as one change; returns the described table.
 
     ``open_late`` lists first and never opens a file that its path rules out, whether it could be read or not.
     """
@@ -86,10 +86,10 @@ def build_catalog(
         files = library.scan_library(spark, *paths)
     described = describe_files(files, settings, words)
     accepted, rejects = split_outcome(described)
-    registry.write_dataset(accepted, root, "catalog", run_id)
-    registry.write_dataset(rejects, root, "rejects", run_id)
-    report = registry.run_report(accepted, rejects, ",".join(paths), words.classes, REASONS)
-    registry.add_run(spark, root, run_id, report)
+    with snapshots.Transaction(spark, root) as change:
+        accepted, rejects = change.write("catalog", run_id, accepted), change.write("rejects", run_id, rejects)
+        report = registry.run_report(accepted, rejects, ",".join(paths), words.classes, REASONS)
+        change.report(run_id, registry.report_text(report))
     return described
 
 

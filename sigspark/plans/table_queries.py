@@ -377,6 +377,17 @@ def q_stratified_split(spark, d):
     return ranking.stratified_split(rows, "vec_id", "label", 0.1, SEED).select("vec_id", "split")
 
 
+@query(f"""WITH c AS (SELECT label, count(*) AS n FROM embeddings GROUP BY 1),
+t AS (SELECT CAST(sum(n) AS BIGINT) AS whole, CAST(ceil(sum(n) * 0.13e0) AS BIGINT) AS total FROM c),
+q AS (SELECT label, total * n // whole AS base, row_number() OVER (ORDER BY total * n % whole DESC, label) AS r,
+        total - sum(total * n // whole) OVER () AS spare FROM c, t)
+SELECT vec_id, CASE WHEN row_number() OVER (PARTITION BY label ORDER BY {HASH}, vec_id) <= base + CAST(r <= spare AS INTEGER)
+  THEN 'validation' ELSE 'train' END AS split FROM embeddings JOIN q USING (label)""")
+def q_apportioned_split(spark, d):
+    rows = feat_embeddings(spark, d).select("vec_id", "label")
+    return ranking.apportioned_split(rows, "vec_id", "label", 0.13, SEED).select("vec_id", "split")
+
+
 @query(f"""WITH {CAP}, co AS (SELECT label, CAST(row_number() OVER (ORDER BY min(vec_id)) - 1 AS INTEGER) AS code FROM cp GROUP BY 1)
 SELECT vec_id, code, CASE WHEN row_number() OVER (ORDER BY {HASH}, vec_id) <= ceil(0.25 * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split
 FROM cp JOIN co USING (label)""")

@@ -8,17 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sigspark.sources import snapshots
+
 
 def write_dataset(df: DataFrame, root: str, name: str, run_id: str) -> None:
-    """Store a table of one run; a rerun replaces its own part only."""
-    df.write.mode("overwrite").parquet(f"{root}/{name}/run_id={run_id}")
+    """Store a table of one run; a rerun replaces its own part only, and readers see the old part until the new one is whole."""
+    with snapshots.Transaction(df.sparkSession, root) as change:
+        change.write(name, run_id, df)
 
 
 def read_dataset(spark: SparkSession, root: str, name: str, run_id: str | None = None) -> DataFrame:
     """One run of a table, the newest one when none is named."""
     if run_id is None:
         run_id = latest(runs(spark, root)).head()["run_id"]
-    return spark.read.parquet(f"{root}/{name}").where(F.col("run_id") == run_id).drop("run_id")
+    return snapshots.read(spark, root, name, run_id)
 
 
 def run_or_load(spark: SparkSession, root: str, name: str, run_id: str | None, build: Callable[[], DataFrame], reload: bool) -> DataFrame:
@@ -30,21 +33,14 @@ def run_or_load(spark: SparkSession, root: str, name: str, run_id: str | None, b
     return read_dataset(spark, root, name, run_id)
 
 
-RUNS = T.StructType(
-    [T.StructField("run_id", T.StringType()), T.StructField("modified", T.TimestampType()), T.StructField("report", T.StringType())]
-)
-
-
-def add_run(spark: SparkSession, root: str, run_id: str, report: DataFrame) -> None:
-    """Append the one-row report of a run as JSON text; readers take the newest entry."""
-    row = report.select(
-        F.lit(run_id).alias("run_id"), F.current_timestamp().alias("modified"), F.to_json(F.struct(*report.columns)).alias("report")
-    )
-    row.write.mode("append").json(f"{root}/runs")
+def report_text(report: DataFrame) -> str:
+    """The one-row report of a run as JSON text."""
+    return report.select(F.to_json(F.struct(*report.columns)).alias("t")).head()["t"]
 
 
 def runs(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(RUNS).json(f"{root}/runs")
+    """(run_id, modified, report) of every report; readers take the newest entry."""
+    return snapshots.reports(spark, root)
 
 
 def latest(entries: DataFrame) -> DataFrame:
@@ -80,8 +76,9 @@ def update_report(spark: SparkSession, root: str, run_id: str, columns: list[str
     kept = F.from_json("report", T.MapType(T.StringType(), T.StringType()))
     new = F.map_from_arrays(F.array(F.lit("n_columns"), F.lit("columns")), F.array(F.lit(str(len(columns))), F.to_json(F.array(*[F.lit(c) for c in columns]))))
     others = F.map_filter(kept, lambda k, _: ~k.isin("n_columns", "columns"))
-    changed = last.select(F.lit(run_id).alias("run_id"), F.current_timestamp().alias("modified"), F.to_json(F.map_concat(others, new)).alias("report"))
-    changed.write.mode("append").json(f"{root}/runs")
+    changed = last.select(F.to_json(F.map_concat(others, new)).alias("t")).head()
+    with snapshots.Transaction(spark, root) as change:
+        change.report(run_id, changed["t"])
 
 
 def write_model_report(df: DataFrame, root: str, run_id: str, model: str) -> None:
