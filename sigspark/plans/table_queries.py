@@ -8,7 +8,7 @@ from sigspark.config import DEFAULT
 from sigspark.functions import arrays as A
 from sigspark.functions import scalars as S
 from sigspark.functions.summaries import at_loudest, summaries
-from sigspark.operators import augment, catalog, evaluate, frames, neighbours, prepare, ranking, spectral
+from sigspark.operators import augment, catalog, evaluate, frames, neighbours, prepare, ranking, spectral, wordjoin
 from sigspark.operators.features import gradient_summaries, gradient_zcr_guard
 from sigspark.plans.book import query, rounded
 from sigspark.plans.signal_queries import gradient_sql
@@ -210,6 +210,22 @@ def q_label_rules_compat(spark, d):
     return _labelled(spark, d, compat=True)
 
 
+@query(f"WITH {_rules_sql(False)} SELECT * FROM la")
+def q_label_rules_joined(spark, d):
+    """The rules with their lists as tables."""
+    lists = [spark.createDataFrame(list(enumerate(words)), "place long, word string") for words in (PART_CLASSES, PART_BLACK, PART_IGNORE)]
+    return wordjoin.long_label_rules(path_parts(spark, d), "signal_id", *lists)
+
+
+@query("""WITH w AS (SELECT DISTINCT lower(unnest(regexp_split_to_array(text, '[^A-Za-z]+'))) AS word FROM documents)
+SELECT p_partkey AS signal_id, word FROM part, w WHERE word <> '' AND contains(lower(p_name), word)""")
+def q_substring_join(spark, d):
+    """Which words of the documents are a part of which part names."""
+    words = read(spark, d, "documents").select(F.explode(F.split("text", "[^A-Za-z]+")).alias("word")).select(F.lower("word").alias("word"))
+    names = path_parts(spark, d).select("signal_id", F.lower("path").alias("text"))
+    return wordjoin.substring_matches(names, words, "signal_id")
+
+
 @query("""SELECT word, count(*) AS n FROM (
   SELECT trim(unnest(string_split(replace(text, chr(10), ','), ',')), ' ') AS word FROM documents) WHERE word <> '' GROUP BY 1""")
 def q_word_list(spark, d):
