@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sigspark.functions.arrays import dft_magnitude, hann, rms_of_spectrum
 from sigspark.functions.scalars import log10_pos, micros
 from sigspark.functions.summaries import summaries
-from sigspark.operators import catalog, features, frames, onsets, series
+from sigspark.operators import catalog, features, frames, onset_lists, onsets, series
 from sigspark.operators.frames import KEY
 from sigspark.plans.book import query, rounded
 from sigspark.session import scratch_path, stored
@@ -319,6 +319,19 @@ def q_onsets(spark, d):
     return rounded(onsets.sound_span(found, 1.0, 1.0, 0.01))
 
 
+@query(f"""WITH {ONSET}, mk AS (
+  SELECT signal_id, frame_idx, strength, max(strength) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS top,
+         avg(strength) OVER (w ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS mean
+  FROM st WINDOW w AS (PARTITION BY signal_id ORDER BY frame_idx)),
+pk AS (SELECT signal_id, list_transform(list(frame_idx ORDER BY frame_idx), lambda x: [x]) AS spots FROM mk
+       WHERE strength = top AND strength >= mean + 0.07 GROUP BY 1)
+SELECT signal_id, unnest(list_reduce(spots, lambda a, x: CASE WHEN x[1] > a[len(a)] + 5 THEN list_concat(a, x) ELSE a END)) AS frame_idx FROM pk""")
+def q_onset_list(spark, d):
+    """Every onset more than five days after the one before, from chunks of eight days."""
+    days = onsets.day_bands(read(spark, d, "events"), BANDS)
+    return onset_lists.onset_list(days, 2, 3, 0.07, 5, size=8, fan=4)
+
+
 def _dft_sql() -> str:
     w = hann(FRAME)
     rows = ", ".join(
