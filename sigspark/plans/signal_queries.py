@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
+from sigspark.functions import fft
 from sigspark.functions.arrays import dft_magnitude, hann, rms_of_spectrum
 from sigspark.functions.scalars import log10_pos, micros
 from sigspark.functions.summaries import summaries
@@ -356,6 +357,25 @@ def q_dft_small(spark, d):
     return rounded(_spectra(spark, d).select(KEY, "frame_idx", F.posexplode("mag").alias("bin", "mag")), 5)
 
 
+@query(f"WITH {_dft_sql()} SELECT signal_id, frame_idx, CAST(bin AS INTEGER) AS bin, round(mag, 5) AS mag FROM dft")
+def q_fft_small(spark, d):
+    packed = frames.frame_arrays(sig_events(spark, d), FRAME).where(F.col("n") == FRAME)
+    mags = packed.select(KEY, "frame_idx", F.posexplode(fft.magnitude(F.col("frame"), FRAME)).alias("bin", "mag"))
+    return rounded(mags, 5)
+
+
+@query(f"""WITH {SIG}, full_frames AS (SELECT signal_id, pos // 32 AS frame_idx FROM sig GROUP BY 1, 2 HAVING count(*) = 32),
+w AS (SELECT signal_id, pos // 32 AS frame_idx, pos % 32 AS i, x * (0.5 - 0.5 * cos(2 * pi() * (pos % 32) / 32)) AS x
+      FROM sig JOIN full_frames f USING (signal_id) WHERE f.frame_idx = pos // 32)
+SELECT signal_id, frame_idx, CAST(k AS INTEGER) AS bin,
+       round(sqrt(pow(sum(x * cos(2 * pi() * (k * i % 32) / 32)), 2) + pow(sum(x * sin(2 * pi() * (k * i % 32) / 32)), 2)), 5) AS mag
+FROM w, range(0, 17) r(k) GROUP BY 1, 2, 3""")
+def q_fft_frames(spark, d):
+    packed = frames.frame_arrays(sig_events(spark, d), 32).where(F.col("n") == 32)
+    mags = packed.select(KEY, "frame_idx", F.posexplode(fft.magnitude(F.col("frame"), 32)).alias("bin", "mag"))
+    return rounded(mags, 5)
+
+
 @query(f"""WITH {_dft_sql()}
 SELECT signal_id, frame_idx, round(sqrt(2 * sum(mag * mag * CASE WHEN bin IN (0, 4) THEN 0.5 ELSE 1 END) / 64), 5) AS rms
 FROM dft GROUP BY 1, 2""")
