@@ -12,7 +12,7 @@ from sigspark.operators.segments import join_small
 from sigspark.plans.book import query, rounded
 from sigspark.session import scratch_path
 from sigspark.sources.adapters import feat_embeddings, sig_events
-from sigspark.streaming import arrivals
+from sigspark.streaming import arrivals, samples
 
 # all rows of the table, shorter training than the defaults
 QUICK = replace(DEFAULT, forest_trees=50, boost_rounds=5, net_epochs=50, impute_rounds=5)
@@ -106,3 +106,20 @@ def q_stream_counts(spark, d):
     timed = stream.select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
     counts = arrivals.stream_counts(spark, timed, "ts", "event_type", f"{out}/rows", f"{out}/checkpoint")
     return counts.withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+@query("""WITH sig AS (SELECT user_id AS signal_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS pos, value AS x FROM events),
+fr AS (SELECT signal_id, x, unnest(range(greatest(CAST(ceil((pos - 7) / 4.0) AS BIGINT), 0), pos // 4 + 1)) AS frame_idx FROM sig)
+SELECT signal_id, frame_idx, count(*) AS n, round(sqrt(avg(x * x)), 6) AS rms, round(avg(x), 6) AS mean FROM fr GROUP BY 1, 2""")
+def q_stream_frames(spark, d):
+    """Frames of eight samples, four apart, of signals that arrive in pieces of five, dealt over files by a hash."""
+    points = sig_events(spark, d)
+    piece = F.floor(F.col("pos") / 5)
+    pieces = points.groupBy("signal_id", piece.alias("piece")).agg(F.sort_array(F.collect_list(F.struct("pos", "x")))["x"].alias("x"))
+    lengths = points.groupBy("signal_id").agg(F.count(F.lit(1)).alias("total"))
+    arriving = join_small(pieces, lengths, ["signal_id"]).withColumn("start", F.col("piece") * 5).withColumn("ts", F.timestamp_seconds(86_400 + F.col("piece") % 60))
+    out = scratch_path(spark, "frames")
+    arriving.repartition(8, F.xxhash64("signal_id", "piece")).write.parquet(f"{out}/pieces")
+    schema = "signal_id long, start long, x array<double>, total long, ts timestamp"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(f"{out}/pieces")
+    return rounded(samples.run_frames(stream, f"{out}/rows", f"{out}/checkpoint", 8, 4))
