@@ -4,22 +4,20 @@ A conversation's turns, in order, are rendered as
 
     <|im_start|>role\\ntext<|im_end|>\\n
 
-``examples`` has a row per assistant turn (prefix-target expansion): all turns
-before it are its context and only its own text is trainable. As the contexts of
-a conversation's examples are prefixes of one another, a row holds only the
-turns since the example before (``own``) and how long its context is:
-an example's text is the ``own`` parts of the conversation up to it, one after the
-other, so the examples of a long conversation take linear space.
-``example_texts`` writes the texts out. Turns after the last reply form one more
-example without a trainable part, so that nothing of a conversation is lost; so
-do conversations without a reply.
+``examples`` has a row per assistant turn (prefix-target expansion): its text is all turns before it, as context, and the turn
+itself, of which only the reply's own text is trainable: the characters from mask_start to mask_end. Turns after the last
+reply form one more example without a trainable part, so that nothing of a conversation is lost; so
+do conversations without a reply. The texts of a conversation with n turns hold its first turn up to n times, so they grow with the square of
+its length; they are made row by row from the conversation's rendered text and are never collected.
+
+``read_back`` reads such rows: the texts under the masks, the turns of each conversation's longest example, and the size of all texts.
 
 Control strings in a text are escaped reversibly: ``<``, k backslashes and ``|``
 become ``<``, k + 1 backslashes and ``|``, so no text holds ``<|``. In a role, %
 and line feed become %25 and %0A.
 
 Everything is DataFrame functions. A conversation's turns meet in one row,
-as every example's context needs them.
+as every example's context needs them; a conversation must fit a row.
 
 Defined cases: null text and role count as empty; turns are ordered by turn,
 then role and text, null turns first; repeated rows are turns each; rows
@@ -80,10 +78,7 @@ def turns_of(conversations: DataFrame) -> DataFrame:
 
 
 def examples(conversations: DataFrame) -> DataFrame:
-    """conv_id, example (from 0), context_chars (before own), own, mask_start, mask_end.
-
-    The mask is counted in the whole example's text; null if nothing is trainable.
-    """
+    """conv_id, example (from 0), text, mask_start, mask_end; the mask is null if nothing is trainable."""
     rows = turns_of(conversations)
     numbers = F.sequence(F.lit(0), F.size("turns") - 1)
     rows = rows.withColumn("ends", F.filter(numbers, lambda i: F.get(F.col("turns"), i)["trained"]))
@@ -91,55 +86,48 @@ def examples(conversations: DataFrame) -> DataFrame:
     rows = rows.withColumn("ends", F.when(done, F.col("ends")).otherwise(F.concat("ends", F.array(F.size("turns") - 1))))
 
     def example(end: Column, i: Column) -> Column:
-        begin = F.when(i == 0, F.lit(0)).otherwise(F.get(F.col("ends"), i - 1) + 1)
         last = F.get(F.col("turns"), end)
         body = last["start"] + F.length(last["head"])
+        stop = body + F.length(last["body"])
         return F.struct(
             i.alias("example"),
-            F.get(F.col("turns"), begin)["start"].alias("context_chars"),
-            F.array_join(F.transform(F.slice("turns", begin + 1, end - begin + 1), rendered), "").alias("own"),
+            (stop + len(END) + 1).cast("int").alias("chars"),
             F.when(last["trained"], body).alias("mask_start"),
-            F.when(last["trained"], body + F.length(last["body"])).alias("mask_end"),
+            F.when(last["trained"], stop).alias("mask_end"),
         )
 
-    return rows.select("conv_id", F.explode(F.transform("ends", example)).alias("e")).select("conv_id", "e.*")
-
-
-def example_texts(found: DataFrame) -> DataFrame:
-    """Every example written out: conv_id, example, text, mask_start, mask_end."""
-    whole = found.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("example", "own", "mask_start", "mask_end"))).alias("all"))
-    text = lambda e, i: F.array_join(F.transform(F.slice("all", F.lit(1), i + 1), lambda p: p["own"]), "")
-    each = F.transform("all", lambda e, i: F.struct(e["example"].alias("example"), text(e, i).alias("text"), e["mask_start"].alias("mask_start"), e["mask_end"].alias("mask_end")))
-    return whole.select("conv_id", F.explode(each).alias("e")).select("conv_id", "e.*")
+    # an example's text is the conversation's up to its reply
+    rows = rows.withColumn("whole", F.array_join(F.transform("turns", rendered), "")).withColumn("each", F.transform("ends", example))
+    rows = rows.select("conv_id", "whole", F.explode("each").alias("e"))
+    return rows.select("conv_id", "e.example", F.substring(F.col("whole"), F.lit(1), F.col("e.chars")).alias("text"), "e.mask_start", "e.mask_end")
 
 
 def read_back(found: DataFrame) -> DataFrame:
-    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, from examples alone.
+    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, from the texts and masks of examples alone.
 
-    formatted_chars is the length of all examples of the conversation, contexts included.
+    formatted_chars is the length of all texts of the conversation. The longest example holds every turn; it is the
+    only whole text that a conversation's rows are combined to.
     """
+    masked = F.substring(F.col("text"), (F.col("mask_start") + 1).cast("int"), (F.col("mask_end") - F.col("mask_start")).cast("int"))
+    read = found.select("conv_id", "example", "text", F.coalesce(unescaped(masked), F.lit("")).alias("loss"))
+    rows = read.groupBy("conv_id").agg(
+        F.max_by("text", "example").alias("text"),
+        F.array_sort(F.collect_list(F.struct("example", "loss"))).alias("parts"),
+        F.sum(F.length("text").cast("long")).alias("formatted_chars"),
+    )
     form = r"(?s)^<\|im_start\|>([^\n]*)\n(.*)$"
-    parts = F.split("own", r"<\|im_end\|>\n", -1)
+    pieces = F.split("text", r"<\|im_end\|>\n", -1)
     turns = F.transform(
-        F.slice(parts, F.lit(1), F.size(parts) - 1),
+        F.slice(pieces, F.lit(1), F.size(pieces) - 1),
         lambda p: F.concat(unescaped_role(unescaped(F.regexp_extract(p, form, 1))), F.lit("\n"), unescaped(F.regexp_extract(p, form, 2)), F.lit("\n")),
     )
-    masked = F.substring(F.col("own"), (F.col("mask_start") - F.col("context_chars") + 1).cast("int"), (F.col("mask_end") - F.col("mask_start")).cast("int"))
-    read = F.struct(
-        "example",
-        turns.alias("turns"),
-        F.coalesce(unescaped(masked), F.lit("")).alias("loss"),
-        (F.col("context_chars") + F.length("own")).alias("chars"),
-    )
-    rows = found.select("conv_id", read.alias("e")).groupBy("conv_id").agg(F.array_sort(F.collect_list("e")).alias("e"))
-    zero = F.lit(0).cast("long")
-    rows = rows.select(
-        "conv_id",
-        F.aggregate("e", zero, lambda n, x: n + F.size(x["turns"])).alias("n_turns"),
-        F.sha2(F.array_join(F.transform("e", lambda x: F.array_join(x["turns"], "")), ""), 256).alias("turns_sha256"),
-        F.array_join(F.transform("e", lambda x: x["loss"]), "").alias("loss"),
-        F.aggregate("e", zero, lambda n, x: n + x["chars"]).alias("formatted_chars"),
-    )
+    loss = F.array_join(F.transform("parts", lambda x: x["loss"]), "")
+    rows = rows.select("conv_id", turns.alias("turns"), loss.alias("loss"), "formatted_chars")
     return rows.select(
-        "conv_id", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars"
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join("turns", ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
     )

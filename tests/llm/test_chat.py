@@ -2,6 +2,8 @@
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from sigspark.llm import chat
 
 SCHEMA = "conv_id long, turn long, role string, text string, example int, own string, turns string"
@@ -44,7 +46,7 @@ def test_round_trip(spark):
 def test_examples_written_out(spark):
     rows = [r for r in ROWS if r[0] != 8] + [(8, t, "assistant" if t % 2 else "user", f"turn {t}") for t in range(40)]
     found = chat.examples(frame(spark, rows))
-    texts = chat.example_texts(found).collect()
+    texts = found.collect()
     convs = {}
     for c, t, r, x in rows:
         convs.setdefault(c, []).append((t is not None, t or 0, r or "", x or ""))
@@ -69,9 +71,22 @@ def test_examples_written_out(spark):
     assert {r.conv_id: r.formatted_chars for r in chat.read_back(found).collect()} == total
 
 
-def test_examples_take_linear_space(spark):
-    chars = lambda n: chat.examples(frame(spark, [(1, t, "assistant" if t % 2 else "user", "x" * 50) for t in range(n)])).selectExpr("sum(length(own)) s").head().s
-    assert chars(400) == 10 * chars(40)
+def test_what_is_counted_is_written(spark):
+    """Sizes and masks come from the texts: a row that is cut or changed changes what is read."""
+    found = chat.examples(frame(spark, [r for r in ROWS if r[0] == 1]))
+    total = found.selectExpr("sum(length(text)) s").head().s
+    assert chat.read_back(found).head().formatted_chars == total
+    cut = found.withColumn("text", F.when(F.col("example") == 0, F.substring("text", 1, 10)).otherwise(F.col("text")))
+    assert chat.read_back(cut).head().formatted_chars < total
+    other = found.withColumn("text", F.replace("text", F.lit("hello"), F.lit("HELLO")))
+    assert chat.read_back(other).head().loss_sha256 == hashlib.sha256(b"HELLOyes").hexdigest()
+
+
+def test_every_example_holds_all_preceding_turns(spark):
+    rows = [(1, t, "assistant" if t % 2 else "user", f"turn {t}") for t in range(40)]
+    texts = [r.text for r in chat.examples(frame(spark, rows)).orderBy("example").collect()]
+    assert len(texts) == 20 and all(b.startswith(a) for a, b in zip(texts, texts[1:]))
+    assert all(f"turn {t}<|im_end|>" in texts[k] for k in range(20) for t in range(2 * k + 2))
 
 
 def test_empty_table(spark):
