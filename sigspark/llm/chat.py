@@ -98,7 +98,8 @@ def examples(conversations: DataFrame) -> DataFrame:
 
     # an example's text is the conversation's up to its reply
     rows = rows.withColumn("whole", F.array_join(F.transform("turns", rendered), "")).withColumn("each", F.transform("ends", example))
-    rows = rows.select("conv_id", "whole", F.explode("each").alias("e"))
+    # never empty; a plain explode would test that first, on all of the expression above
+    rows = rows.select("conv_id", "whole", F.explode_outer("each").alias("e"))
     return rows.select("conv_id", "e.example", F.substring(F.col("whole"), F.lit(1), F.col("e.chars")).alias("text"), "e.mask_start", "e.mask_end")
 
 
