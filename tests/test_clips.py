@@ -186,3 +186,25 @@ def test_keyed_scan(spark, folder):
     assert one.count() == 1
     plan = library.scan_library(spark, str(folder)).select("path")._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan
+
+
+def test_knn_on_clips(spark, folder, described, tmp_path):
+    """Clip ids are paths: training, keeping and keyed prediction of the nearest-rows model."""
+    from dataclasses import replace
+
+    from sigspark.plans import predict
+
+    root, run = str(tmp_path), "20240101-000000-lib"
+    names = features.feature_names()
+    rows = pipeline.extract_features(described).drop("mel")
+    # each clip a few times, so that both parts of the split hold every class
+    copies = rows.crossJoin(spark.range(8).withColumnRenamed("id", "copy"))
+    many = copies.withColumn("signal_id", F.concat("signal_id", F.lit("#"), F.col("copy").cast("string"))).select("signal_id", "label", *names)
+    registry.write_dataset(many, root, "features", run)
+    settings = replace(pipeline.DEFAULT, neighbours=1, impute_rounds=1)
+    made, report, model_id = predict.train_run(spark, root, run, "knn", settings)
+    assert report.where("name = 'kick'").count() == 1 and model_id.startswith("KNN_")
+    asked = spark.createDataFrame([("0", f"{folder}/Kicks/deep.wav"), ("1", f"{folder}/snares/one.wav"), ("2", f"{folder}/tom text.wav"), ("3", f"{folder}/none.wav")], "key string, path string")
+    kept = predict.load_model(spark, root, run, model_id)
+    outcome = {r.key: r.outcome for r in predict.predict_keyed(spark, asked, kept, str(folder)).collect()}
+    assert outcome == {"0": "kick", "1": "snare", "2": "Unreadable", "3": "Unreadable"}
