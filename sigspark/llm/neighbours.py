@@ -41,6 +41,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sigspark.llm.common import small_batches
 from sigspark.session import stored
 
 NEAREST = 5
@@ -137,7 +138,7 @@ def met(groups: DataFrame) -> DataFrame:
                 a, b, s = (np.concatenate(c) for c in zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s, pa.float64())], ["node", "other", "near"])
 
-    return groups.mapInArrow(run, "node long, other long, near double")
+    return small_batches(groups).mapInArrow(run, "node long, other long, near double")
 
 
 def members(fresh: Column | str, worst: Column | str, node: str = "node") -> Column:
@@ -197,7 +198,8 @@ def scored(front: DataFrame) -> DataFrame:
                 ["query", "node", "near"],
             )
 
-    return front.select("query", "query_code", F.col("worst").cast("double").alias("worst"), "members").mapInArrow(run, "query long, node long, near double")
+    rows = front.select("query", "query_code", F.col("worst").cast("double").alias("worst"), "members")
+    return small_batches(rows).mapInArrow(run, "query long, node long, near double")
 
 
 def brute_force(nodes: DataFrame, queries: DataFrame) -> dict[int, list[float]]:
@@ -217,7 +219,7 @@ def brute_force(nodes: DataFrame, queries: DataFrame) -> dict[int, list[float]]:
                 query, best = np.repeat(ids, best.shape[1]), best.ravel().astype(float)
                 yield pa.RecordBatch.from_arrays([pa.array(query[best > -3], pa.int64()), pa.array(best[best > -3], pa.float64())], ["query", "near"])
 
-    found = nodes.select("node", "code").mapInArrow(run, "query long, near double")
+    found = small_batches(nodes.select("node", "code")).mapInArrow(run, "query long, near double")
     out: dict[int, list[float]] = {}
     for row in first_of(found, ["query"], [F.desc("near")], NEAREST).collect():
         out.setdefault(row["query"], []).append(row["near"])
