@@ -9,8 +9,9 @@ a lost or repeated attempt are never read.
 The reader knows nothing of the writer: it finds the end-of-directory record at
 the end of a package (the ZIP64 one where a field overflows), parses the
 central directory, locates the stored members and the index, and turns index
-lines into ranges. Ranges are dealt to tasks, which read and inflate them one by
-one; nothing is extracted to disk. Without an index the record stream is walked.
+lines into ranges. Ranges are dealt to tasks, as many as there are ranges for, which read and inflate them one by
+one; nothing is extracted to disk. Without an index the record stream is walked. Index lines may be those of other tools (a key, a timestamp and
+JSON), and records of any type: see ``parse``.
 
 Of records with equal payloads of at least LEAST bytes, the one with the largest
 page_id is a response and the others revisit it; smaller ones are responses.
@@ -51,6 +52,8 @@ LEAST = 1000
 PACKAGE = 64 << 20
 #: Bytes that one range read takes at most, unless a record is longer.
 RANGE = 4 << 20
+#: Bytes of an index that are read at a time, and ranges that a task reads where there are very many.
+PIECE, RANGES = 1 << 20, 16
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 #: Fixed value: any date makes a valid record; a constant keeps repeated tasks equal.
 DATE = "2024-01-01T00:00:00Z"
@@ -97,25 +100,47 @@ def page_of(urn: str | None) -> int | None:
     return int(name) if name.lstrip("-").isdigit() else None
 
 
+def sha1_of(digest: str | None) -> str | None:
+    """Lower-case hex of a labelled SHA-1 digest, in base 32 or hex; None for other digests."""
+    name, _, value = (digest or "").partition(":")
+    if name.strip().lower() not in ("sha1", "sha-1"):
+        return None
+    value = value.strip()
+    try:
+        return value.lower() if len(value) == 40 else base64.b32decode(value.upper()).hex()
+    except ValueError:
+        return None
+
+
 def parse(data: bytes) -> dict:
-    """What a record says, its payload checked against its digest where it holds one."""
+    """What a record says.
+
+    Records of any type are read. The payload of a response is its HTTP body, that of others their block; revisits have none. A payload is
+    checked against its SHA-1 where the record states one, unless it was transferred in chunks; a record
+    that states none gets that of its payload.
+    """
     if not data.startswith(b"WARC/"):
         raise ValueError("not a WARC record")
     fields, at = headers(data)
-    block = data[at : at + int(fields["content-length"])]
-    http, body = headers(block)
-    digest = base64.b32decode(fields["warc-payload-digest"].partition(":")[2]).hex()
-    payload = block[body:] if fields["warc-type"] == "response" else None
-    if payload is not None and (hashlib.sha1(payload).hexdigest() != digest or len(payload) != int(http["content-length"])):
-        raise ValueError(f"damaged record {fields['warc-record-id']}")
+    kind = fields.get("warc-type", "").lower()
+    block = data[at : at + int(fields["content-length"])] if "content-length" in fields else data[at:].removesuffix(b"\r\n\r\n")
+    http, body = {}, 0
+    if kind in ("response", "revisit") and fields.get("content-type", "application/http").startswith("application/http") and b"\r\n\r\n" in block:
+        http, body = headers(block)
+    payload = None if kind == "revisit" else block[body:]
+    stated, size = sha1_of(fields.get("warc-payload-digest")), http.get("content-length", "")
+    own = None if payload is None else hashlib.sha1(payload).hexdigest()
+    if own and stated and own != stated and "transfer-encoding" not in http:
+        raise ValueError(f"damaged record {fields.get('warc-record-id')}")
     return {
-        "page_id": page_of(fields["warc-record-id"]),
+        "page_id": page_of(fields.get("warc-record-id")),
         "url": fields.get("warc-target-uri", ""),
-        "payload_bytes": int(http["content-length"]),
-        "payload_digest": digest,
-        "record_type": fields["warc-type"],
+        "payload_bytes": len(payload) if payload is not None else int(size) if size.isdigit() else None,
+        "payload_digest": stated or own,
+        "record_type": kind,
         "refers_to": page_of(fields.get("warc-refers-to")),
         "payload": payload,
+        "record_id": fields.get("warc-record-id", ""),
     }
 
 
@@ -216,15 +241,36 @@ def locate(path: str) -> Iterator[tuple[int, int]]:
             if not (name.startswith("archive/") and name.endswith(".warc.gz")):
                 continue
             begin, length = data_range(file, member)
-            if INDEX in members:
-                index_at, index_length = data_range(file, members[INDEX])
-                file.seek(index_at)
-                entries = [json.loads(line) for line in file.read(index_length).splitlines() if line.strip()]
-                yield from ((begin + e["offset"], e["length"]) for e in entries if e["filename"] == name)
+            indexes = [m for n, m in members.items() if n.startswith("indexes/") and n.endswith(".cdxj") and m[2] == 0]
+            if indexes:
+                found = {e[1:] for m in indexes for e in entries(file, *data_range(file, m)) if name in (e[0], f"archive/{e[0]}")}
+                yield from ((begin + offset, size) for offset, size in sorted(found))
             else:
                 yield from walk(file, begin, length)
 
 
+def entries(file, at: int, length: int) -> Iterator[tuple[str, int, int]]:
+    """(file name, offset, length) of the lines of an index: JSON alone, or after a key and a timestamp; read by PIECE bytes."""
+    left, end = b"", at + length
+    while at < end or left:
+        if at < end:
+            file.seek(at)
+            data = file.read(min(PIECE, end - at))
+            if not data:
+                raise ValueError("cut index")
+            at += len(data)
+            lines = (left + data).split(b"\n")
+            left = lines.pop()
+        else:
+            lines, left = [left], b""
+        for line in lines:
+            begin = line.find(b"{")
+            if begin >= 0 and not line.startswith(b"!"):
+                entry = json.loads(line[begin:])
+                if "offset" in entry and "length" in entry:
+                    yield entry.get("filename", ARCHIVE), int(entry["offset"]), int(entry["length"])
+
+
 def walk(file, begin: int, length: int) -> Iterator[tuple[int, int]]:
     """(offset, length) of the gzip members of a record stream."""
     at, end = begin, begin + length
@@ -302,8 +348,8 @@ def read_packages(packages: DataFrame) -> DataFrame:
                     ["path", "offset", "lengths"],
                 )
 
-    fields = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
-    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
+    fields = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload", "record_id"]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary(), pa.string()]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -315,9 +361,13 @@ def read_packages(packages: DataFrame) -> DataFrame:
                 rows = [parse(gzip.decompress(data.read(n))) for n in lengths]
                 yield pa.RecordBatch.from_arrays([pa.array([r[f] for r in rows], k) for f, k in zip(fields, kinds, strict=True)], fields)
 
-    spread = packages.select("path").mapInArrow(find, "path string, offset long, lengths array<long>")
-    dealt = spread.repartition(F.xxhash64("path", "offset"))
-    schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
+    # ranges are a few numbers each: how many tasks read them must not follow from their own size
+    most = int(packages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    paths = packages.select("path").repartition(max(1, min(most, packages.count())), "path")
+    spread = stored(paths.mapInArrow(find, "path string, offset long, lengths array<long>"), "ranges")
+    n = spread.count()
+    dealt = spread.repartition(max(1, min(n, max(most, -(-n // RANGES)))), F.xxhash64("path", "offset"))
+    schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary, record_id string"
     return dealt.mapInArrow(read, schema)
 
 

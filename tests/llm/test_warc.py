@@ -127,3 +127,47 @@ def test_zip64_directory():
     members = warc.directory(file)
     assert members == {warc.ARCHIVE: (at, big, 0)}
     assert warc.data_range(file, members[warc.ARCHIVE]) == (at + len(local), big)
+
+
+FOREIGN = [
+    b"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:0a>\r\nContent-Type: application/warc-fields\r\nContent-Length: 16\r\n\r\nsoftware: x/1\r\n\n\r\n\r\n",
+    b"WARC/1.0\r\nwarc-type: response\r\nWARC-Record-ID: <urn:uuid:0b>\r\nWARC-Target-URI: http://b/\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: 31\r\n\r\nHTTP/1.1 200 OK\r\nA: b\r\n\r\nhello!\r\n\r\n",
+    b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:0c>\r\nWARC-Payload-Digest: sha1:WRONGWRONGWRONGWRONGWRONGWRONGWR\r\nContent-Length: 52\r\n\r\nHTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n0\r\n\r\n\r\n\r\n",
+    b"WARC/1.0\r\nWARC-Type: request\r\nWARC-Record-ID: <urn:uuid:0d>\r\nContent-Type: application/http;msgtype=request\r\nContent-Length: 18\r\n\r\nGET / HTTP/1.1\r\n\r\n\r\n\r\n",
+    b"WARC/1.0\r\nWARC-Type: revisit\r\nWARC-Record-ID: <urn:uuid:0e>\r\nWARC-Payload-Digest: sha256:aa\r\nContent-Length: 0\r\n\r\n\r\n\r\n",
+    b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:uuid:0f>\r\nWARC-Payload-Digest: sha1:da39a3ee5e6b4b0d3255bfef95601890afd80709\r\nContent-Length: 0\r\n\r\n\r\n\r\n",
+]
+
+
+def test_records_of_other_tools():
+    rows = [warc.parse(r) for r in FOREIGN]
+    assert [r["record_type"] for r in rows] == ["warcinfo", "response", "response", "request", "revisit", "resource"]
+    assert [r["payload"] for r in rows] == [b"software: x/1\r\n\n", b"hello!", b"0\r\n\r\n", b"GET / HTTP/1.1\r\n\r\n", None, b""]
+    assert [r["payload_bytes"] for r in rows] == [16, 6, 5, 18, None, 0] and rows[1]["payload_digest"] == hashlib.sha1(b"hello!").hexdigest()
+    assert rows[4]["payload_digest"] is None and rows[1]["url"] == "http://b/" and {r["page_id"] for r in rows} == {None}
+
+
+@pytest.mark.parametrize("index", ["none", "cdxj", "two"])
+def test_archives_of_other_tools(spark, tmp_path, index, monkeypatch):
+    monkeypatch.setattr(warc, "PIECE", 37)
+    packed = [gzip.compress(r) for r in FOREIGN]
+    starts = [sum(map(len, packed[:k])) for k in range(len(packed))]
+    path = f"{tmp_path}/a.wacz"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as out:
+        out.writestr("archive/rec-1.warc.gz", b"".join(packed))
+        # a key, a timestamp and JSON with numbers as text, sorted by key; only responses are listed
+        line = lambda k: 'com,b)/%d 2024010100000%d {"url": "http://b/{", "filename": "rec-1.warc.gz", "offset": "%d", "length": "%d"}' % (9 - k, k, starts[k], len(packed[k]))
+        if index != "none":
+            out.writestr("indexes/index.cdxj", "!meta 0 {}\n" + "\n".join(sorted([line(1), line(2)])) + "\n")
+        if index == "two":
+            out.writestr("indexes/more.cdxj", line(5) + "\n" + line(1))
+    got = {r.record_id: r.record_type for r in warc.read_packages(spark.createDataFrame([(path,)], "path string")).collect()}
+    every = {f"<urn:uuid:0{c}>": t for c, t in zip("abcdef", ["warcinfo", "response", "response", "request", "revisit", "resource"])}
+    wanted = {"none": "abcdef", "cdxj": "bc", "two": "bcf"}[index]
+    assert got == {k: v for k, v in every.items() if k[-2] in wanted}
+
+
+def test_ranges_are_read_by_many_tasks(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(warc, "RANGE", 1)
+    found = warc.round_trip(frame(spark, [(i, "u", f"page {i} " * 50) for i in range(40)]), f"{tmp_path}/p")
+    assert found.rdd.getNumPartitions() == 8 and found.count() == 40
