@@ -75,7 +75,10 @@ N_FEATURES = N_FINE + 64 + 3
 
 
 def describe(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Features of all passages, and the number of passages of each text."""
+    """Features of all passages, and the number of passages of each text.
+
+    Texts of at most WINDOW bytes are described together, a longer one alone and window by window; passages go on across windows.
+    """
     parts, counts, group, size = [], [], [], 0
 
     def flush() -> None:
@@ -86,18 +89,33 @@ def describe(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             counts.extend(n)
         group, size = [], 0
 
-    owners = []
-    for i, text in enumerate(texts):
-        for at in range(0, max(1, len(text)), WINDOW):  # a longer text is described window by window
-            piece = text[at : at + WINDOW]
-            if size + len(piece) > WINDOW:
-                flush()
-            group.append(piece)
-            owners.append(i)
-            size += len(piece)
+    for text in texts:
+        if len(text) > WINDOW:
+            flush()
+            parts.append(_describe_long(text))
+            counts.append(len(parts[-1]))
+            continue
+        if size + len(text) > WINDOW:
+            flush()
+        group.append(text)
+        size += len(text)
     flush()
-    per = np.bincount(np.array(owners, np.int64), weights=np.array(counts, np.float64), minlength=len(texts)).astype(np.int64)
-    return np.concatenate(parts) if parts else np.zeros((0, N_FEATURES), np.float32), per
+    return np.concatenate(parts) if parts else np.zeros((0, N_FEATURES), np.float32), np.array(counts, np.int64)
+
+
+def _features(fine: np.ndarray, pairs: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Features of passages from their counts of byte classes, of pairs of coarse classes and of words."""
+    length = fine.sum(axis=1)
+    safe = np.maximum(length, 1)[:, None]
+    more = np.stack([np.log1p(length), np.log1p(words), length / np.maximum(words, 1)], axis=1)
+    return np.concatenate([np.sqrt(fine / safe), np.sqrt(pairs / safe), more], axis=1).astype(np.float32)
+
+
+def _counts(data: np.ndarray, passage: np.ndarray, start: np.ndarray, previous: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts for ``total`` passages, from the passage, the word start and the coarse class before each byte."""
+    fine = np.bincount(passage * N_FINE + FINE[data], minlength=total * N_FINE).reshape(total, N_FINE)
+    pairs = np.bincount(passage * 64 + previous * 8 + COARSE[data], minlength=total * 64).reshape(total, 64)
+    return fine, pairs, np.bincount(passage, weights=start, minlength=total)
 
 
 def _describe(texts: list[bytes]) -> tuple[np.ndarray, list[int]]:
@@ -116,18 +134,30 @@ def _describe(texts: list[bytes]) -> tuple[np.ndarray, list[int]]:
     number = np.ones(len(texts), np.int64)
     number[held] = passage[np.cumsum(sizes)[held] - 1] + 1
     passage += np.repeat(np.cumsum(number) - number, sizes)
-    total = int(number.sum())
-    fine = np.bincount(passage * N_FINE + FINE[data], minlength=total * N_FINE).reshape(total, N_FINE)
     coarse = COARSE[data]
     previous = np.empty_like(coarse)
     previous[1:] = coarse[:-1]
     previous[begins[held]] = 3  # a text starts as after a space, whatever text stands before it
-    pairs = np.bincount(passage * 64 + previous * 8 + coarse, minlength=total * 64).reshape(total, 64)
-    length = fine.sum(axis=1)
-    count = np.bincount(passage, weights=start, minlength=total)
-    safe = np.maximum(length, 1)[:, None]
-    more = np.stack([np.log1p(length), np.log1p(count), length / np.maximum(count, 1)], axis=1)
-    return np.concatenate([np.sqrt(fine / safe), np.sqrt(pairs / safe), more], axis=1).astype(np.float32), number.tolist()
+    return _features(*_counts(data, passage, start, previous, int(number.sum()))), number.tolist()
+
+
+def _describe_long(text: bytes) -> np.ndarray:
+    """Features of one text's passages; the last passage of a window, the words so far and the byte before go on to the next window."""
+    done, open_, first, words, white, last = [], None, 0, 0, True, 3
+    for at in range(0, len(text), WINDOW):
+        data = np.frombuffer(text, np.uint8, min(WINDOW, len(text) - at), at)
+        blank, coarse = WHITE[data], COARSE[data]
+        start = ~blank & np.append(white, blank[:-1])
+        passage = np.maximum(words + np.cumsum(start) - 1, 0) // PASSAGE
+        number = int(passage[-1]) - first + 1
+        counts = _counts(data, passage - first, start, np.append(last, coarse[:-1]), number)
+        if open_ is not None:
+            for new, old in zip(counts, open_, strict=True):
+                new[0] += old[0]
+        done.append(_features(*(c[:-1] for c in counts)))
+        open_, first = tuple(c[-1:] for c in counts), int(passage[-1])
+        words, white, last = words + int(start.sum()), bool(blank[-1]), int(coarse[-1])
+    return np.concatenate([*done, _features(*open_)])
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:

@@ -12,13 +12,82 @@ SCHEMA = "doc_id long, text string, score string, held_out int, quality int"
 def test_describing_is_per_document_and_per_passage():
     texts = [b"", b"one two", b"a " * 1000, "é ñ ß".encode() * 50, b"x" * 1_300_000, b" \n"]
     together, per = quality.describe(texts)
-    assert list(per) == [1, 1, 16, 2, 3, 1]  # a text longer than a window is described in windows
+    assert list(per) == [1, 1, 16, 2, 1, 1]  # passages go on across the windows of a long text
     alone = [quality.describe([t])[0] for t in texts]
     assert np.allclose(together, np.concatenate(alone))
     shares = together[:, : quality.N_FINE] ** 2
     assert np.allclose(shares.sum(axis=1), (shares.sum(axis=1) > 0))
 
 
+def passages_by_hand(text):
+    """Counts of every passage, byte by byte."""
+    out, words, before, last = [], 0, 3, True
+    for byte in text or b"":
+        white = chr(byte) in "\t\n\x0b\x0c\r "
+        begins = last and not white
+        words += begins
+        number = max(words - 1, 0) // 64
+        while len(out) <= number:
+            out.append(([0] * quality.N_FINE, [0] * 64, 0))
+        fine, pairs, n = out[number]
+        fine[quality.FINE[byte]] += 1
+        pairs[8 * before + quality.COARSE[byte]] += 1
+        out[number] = (fine, pairs, n + begins)
+        before, last = quality.COARSE[byte], white
+    return out or [([0] * quality.N_FINE, [0] * 64, 0)]
+
+
+def features_by_hand(text):
+    rows = []
+    for fine, pairs, n in passages_by_hand(text):
+        size = sum(fine)
+        rows.append([(x / max(size, 1)) ** 0.5 for x in fine + pairs] + [np.log1p(size), np.log1p(n), size / max(n, 1)])
+    return np.array(rows)
+
+
+def score_by_hand(model, text):
+    """The forward pass, one passage after the other."""
+    encoded, gates = [], []
+    for f in features_by_hand(text):
+        x = (f - model["mean"]) / model["std"]
+        h = np.array([np.tanh(sum(x[i] * model["W"][i, j] for i in range(len(x))) + model["b"][j]) for j in range(len(model["b"]))])
+        t, g = np.tanh(h @ model["V"]), 1 / (1 + np.exp(-(h @ model["U"])))
+        encoded.append(h)
+        gates.append(sum(t[k] * g[k] * model["w"][k] for k in range(len(t))))
+    top = max(gates)
+    weights = [np.exp(e - top) for e in gates]
+    bag = sum(w / sum(weights) * h for w, h in zip(weights, encoded))
+    return 1 / (1 + np.exp(-(float(bag @ model["c"]) + float(model["d"]))))
+
+
+def odd_texts():
+    rng = np.random.default_rng(3)
+    made = [bytes(rng.choice(list(b"abcXY09 .,\n\t\xc3\xa9<"), size=n).tolist()) for n in (1, 7, 60, 700, 5000)]
+    return [None, b"", b" ", b"\n\n x", b"word " * 200, b"x" * 900, b" lead" * 64, b" lead" * 65, b"a b" * 400, *made]
+
+
+@pytest.mark.parametrize("window", [1, 13, 64, 1000, 1 << 19])
+def test_passages_do_not_depend_on_windows(monkeypatch, window):
+    monkeypatch.setattr(quality, "WINDOW", window)
+    texts = [t or b"" for t in odd_texts()]
+    f, per = quality.describe(texts)
+    want = [features_by_hand(t) for t in texts]
+    assert list(per) == [len(w) for w in want]
+    assert np.allclose(f, np.concatenate(want), atol=1e-5)
+
+
+def test_scores_against_a_plain_forward_pass(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = quality.train(docs, spark.read.parquet("/root/testdata/sf0.001/labels.parquet"))
+    texts = dict(enumerate(odd_texts())) | {1000 + r.doc_id: r.text.encode() for r in docs.orderBy("doc_id").limit(20).collect()}
+    rows = spark.createDataFrame([(i, None if t is None else t.decode("utf-8", "ignore"), "s", 5, 9) for i, t in texts.items()], SCHEMA)
+    got = {r.doc_id: r for r in quality.scores(rows, model).collect()}
+    for r in rows.collect():
+        want = score_by_hand(model, (r.text or "").encode())
+        assert got[r.doc_id].score == pytest.approx(want, abs=1e-5)
+        assert got[r.doc_id].predicted == int(got[r.doc_id].score >= 0.3)
+
+
 def test_gradients():
     rng = np.random.default_rng(0)
     per, y = np.array([3, 1, 4]), np.array([1.0, 0.0, 1.0])
