@@ -364,7 +364,8 @@ def read_packages(packages: DataFrame) -> DataFrame:
     # ranges are a few numbers each: how many tasks read them must not follow from their own size
     most = int(packages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     paths = packages.select("path").repartition(max(1, min(most, packages.count())), "path")
-    spread = stored(paths.mapInArrow(find, "path string, offset long, lengths array<long>"), "ranges")
+    # indexes are read twice, for the number of ranges and for the ranges: they are small beside the records
+    spread = paths.mapInArrow(find, "path string, offset long, lengths array<long>")
     n = spread.count()
     dealt = spread.repartition(max(1, min(n, max(most, -(-n // RANGES)))), F.xxhash64("path", "offset"))
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary, record_id string"
