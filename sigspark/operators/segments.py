@@ -49,7 +49,7 @@ def join_small(
         return big.join(F.broadcast(table), on, how)
     salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     spread = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)).cast("int"))
-    return spread.join(salted, [*on, "_salt"], how).drop("_salt")
+    return spread.join(salted.hint("merge"), [*on, "_salt"], how).drop("_salt")
 
 
 def _place(order: str, ties: tuple[str, ...], columns: list[str]) -> Column:

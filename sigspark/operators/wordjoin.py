@@ -7,6 +7,9 @@ such a part themselves. An equi-join on that part gives the candidates, a plain
 
 ``long_label_rules`` are the label rules of ``catalog.label_rules`` for lists given as tables.
 
+Tables with a row per text are joined by sorting on both sides, whatever the optimiser guesses of their size from compressed files:
+a broadcast would bring all texts to the driver. Per-word tables are counted first (``join_small``).
+
 Defined cases: null texts and words, and empty words, match nothing; repeated words count once; an empty list matches nothing.
 """
 
@@ -15,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sigspark.operators.segments import join_small
 from sigspark.session import stored
 
 GRAM = 4
@@ -38,16 +42,16 @@ def substring_matches(texts: DataFrame, words: DataFrame, key: str, text: str =
     # one look-up size per word; a part of another size is another text
     own = F.coalesce(*[F.when(F.col("_size") == n, parts_of("word", n)) for n in sizes])
     asked = words.select("word", F.explode(own).alias("_part"), F.size(own).alias("_parts"))
-    found = asked.join(counts, "_part").groupBy("word").agg(F.min_by("_part", F.struct("_n", "_part")).alias("_part"), F.count(F.lit(1)).alias("_met"), F.max("_parts").alias("_parts"))
+    found = asked.join(counts.hint("merge"), "_part").groupBy("word").agg(F.min_by("_part", F.struct("_n", "_part")).alias("_part"), F.count(F.lit(1)).alias("_met"), F.max("_parts").alias("_parts"))
     # a word with a part that no text holds is in no text
     rarest = found.where(F.col("_met") == F.col("_parts")).select("_part", "word")
-    candidates = held.join(rarest, "_part").select(key, "word")
-    return candidates.join(texts, key).where(F.col("_text").contains(F.col("word"))).select(key, "word")
+    candidates = join_small(held, rarest, ["_part"], "inner").select(key, "word")
+    return candidates.join(texts.hint("merge"), key).where(F.col("_text").contains(F.col("word"))).select(key, "word")
 
 
 def first_words(texts: DataFrame, lists: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key, word, place) of the word with the smallest ``place`` that is a part of each text; texts without one are left out."""
-    found = substring_matches(texts, lists, key, text).join(lists.groupBy("word").agg(F.min("place").alias("place")), "word")
+    found = join_small(substring_matches(texts, lists, key, text), lists.groupBy("word").agg(F.min("place").alias("place")), ["word"], "inner")
     return found.groupBy(key).agg(F.min_by("word", "place").alias("word"), F.min("place").alias("place"))
 
 
@@ -61,10 +65,11 @@ def without_words(texts: DataFrame, lists: DataFrame, key: str, text: str = "tex
     done = []
     ranked = lists.groupBy("word").agg(F.min("place").cast("long").alias("place"))
     while True:
-        found = substring_matches(now, ranked, key).join(ranked, "word").join(now.select(key, F.col("place").alias("_last")), key)
+        found = join_small(substring_matches(now, ranked, key), ranked, ["word"], "inner")
+        found = found.join(now.select(key, F.col("place").alias("_last")).hint("merge"), key)
         later = found.where(F.col("_last").isNull() | (F.col("place") > F.col("_last")))
         first = later.groupBy(key).agg(F.min_by("word", "place").alias("word"), F.min("place").alias("next"))
-        step = stored(now.join(first, key, "left"), "words-cut")
+        step = stored(now.join(first.hint("merge"), key, "left"), "words-cut")
         done.append(step.where(F.col("word").isNull()).select(key, "text", "cut"))
         more = step.where(F.col("word").isNotNull())
         if more.isEmpty():
@@ -85,11 +90,13 @@ def long_label_rules(paths: DataFrame, key: str, classes: DataFrame, black: Data
     plain = first_words(low, classes, key).select(key, F.col("word").alias("_plain"))
     barred = substring_matches(low, black, key).select(key).distinct().withColumn("_black", F.lit(True))
     # only what has a class and no black word is looked at again
-    open_ = low.join(plain, key, "left_semi").join(barred, key, "left_anti")
+    open_ = low.join(plain.hint("merge"), key, "left_semi").join(barred.hint("merge"), key, "left_anti")
     stripped = without_words(open_, ignore, key).where("cut > 0")
     again = first_words(stripped, classes, key).select(key, F.col("word").alias("_again"))
-    state = plain.join(barred, key, "left").join(stripped.select(key, "cut"), key, "left").join(again, key, "left")
-    ruled = paths.join(state, key, "left")
+    state = plain
+    for part in (barred, stripped.select(key, "cut"), again):
+        state = state.join(part.hint("merge"), key, "left")
+    ruled = paths.join(state.hint("merge"), key, "left")
     is_black, ignored = F.col("_black").isNotNull(), F.col("cut").isNotNull()
     label = F.when(F.col("_plain").isNotNull() & ~is_black, F.when(ignored, F.col("_again")).otherwise(F.col("_plain")))
     reason = (

@@ -86,3 +86,12 @@ def test_no_list_on_the_driver(spark):
     words = spark.range(50_000).select(F.concat(F.lit("word"), F.col("id").cast("string")).alias("word"))
     plan = wordjoin.substring_matches(texts_of(spark, ["a word123 b"]), words, "id")._jdf.queryExecution().toString()
     assert "word4999" not in plan and "Join" in plan
+
+
+def test_texts_are_not_broadcast(spark):
+    """A table with a row per text looks small to the optimiser, but the driver must not hold it."""
+    paths = spark.range(200).select("id", F.concat(F.lit("large ring"), F.col("id").cast("string")).alias("path"))
+    lists = [words_of(spark, words) for words in (["ring", "bolt"], ["g1"], ["large"])]
+    for df in (wordjoin.substring_matches(paths, lists[0], "id", "path"), wordjoin.long_label_rules(paths, "id", *lists)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [id" in plan and "BroadcastHashJoin [id" not in plan
