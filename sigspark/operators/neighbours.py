@@ -18,6 +18,8 @@ from sigspark.session import stored
 MAX_BROADCAST_CELLS = 10_000_000
 BLOCK = 20_000
 MAX_BLOCKS = 100_000
+#: Numbers of features that a batch of (query, block) pairs holds in Python.
+PAIR_CELLS = 500_000
 #: Principal directions that a block's box is measured in.
 AXES = 6
 
@@ -172,6 +174,21 @@ def cut_into_blocks(train: DataFrame, width: int, block: int = BLOCK) -> Blocks:
     return Blocks(rows.drop("_c"), axes, boxes["_block"].to_numpy(), boxes["n"].to_numpy("int64"), side("low"), side("high"))
 
 
+def _pairs(queries: pd.DataFrame, hit: np.ndarray, ids: np.ndarray, width: int):
+    """(query_id, features, _block) of all hits, in batches: a query may ask for every block, so its features are copied for a few pairs at a time."""
+    which, block = np.nonzero(hit)
+    step = max(1, PAIR_CELLS // max(1, width))
+    for at in range(0, len(which), step):
+        some = which[at : at + step]
+        yield pd.DataFrame(
+            {
+                "query_id": queries["query_id"].to_numpy()[some],
+                "features": queries["features"].to_numpy()[some],
+                "_block": ids[block[at : at + step]],
+            }
+        )
+
+
 def blocks_asked(queries: DataFrame, blocks: Blocks, k: int, kind: str) -> DataFrame:
     """(query_id, features, _block): the blocks that may hold one of a query's k nearest rows.
 
@@ -196,14 +213,7 @@ def blocks_asked(queries: DataFrame, blocks: Blocks, k: int, kind: str) -> DataF
                     before = np.cumsum(b.sizes[order], axis=1) - b.sizes[order]
                     hit = np.zeros(away.shape, bool)
                     np.put_along_axis(hit, order, before < k, axis=1)
-                which, block = np.nonzero(hit)
-                yield pd.DataFrame(
-                    {
-                        "query_id": part["query_id"].to_numpy()[which],
-                        "features": part["features"].to_numpy()[which],
-                        "_block": b.ids[block],
-                    }
-                )
+                yield from _pairs(part, hit, b.ids, len(b.axes))
 
     return with_coordinates(queries, blocks.axes).mapInPandas(run, f"query_id {kind}, features array<double>, _block string")
 

@@ -106,3 +106,17 @@ def test_knn_model_on_text_ids_survives_writing(spark, tmp_path):
     read = models.Trained.read(spark, str(tmp_path / "m"))
     names = lambda m: {r.id: r.predicted for r in m.score(rows, "id").collect()}
     assert names(made) == names(read) and len(names(made)) == 330
+
+
+def test_pairs_come_in_bounded_batches(monkeypatch):
+    """Queries that ask for all blocks: no batch holds more than PAIR_CELLS numbers, no pair is lost."""
+    import pandas as pd
+
+    monkeypatch.setattr(neighbours, "PAIR_CELLS", 100)
+    queries = pd.DataFrame({"query_id": range(30), "features": [np.full(7, float(i)) for i in range(30)]})
+    hit = np.random.default_rng(1).uniform(size=(30, 40)) < 0.9
+    made = list(neighbours._pairs(queries, hit, np.array([f"b{i}" for i in range(40)]), 7))
+    assert max(len(m) for m in made) * 7 <= 100
+    rows = [r for m in made for r in zip(m["query_id"], m["_block"], m["features"])]
+    assert sorted((q, b) for q, b, _ in rows) == sorted((q, f"b{i}") for q, i in zip(*map(np.ndarray.tolist, np.nonzero(hit))))
+    assert all((f == q).all() for q, _, f in rows)
