@@ -3,6 +3,7 @@
 A piece has signal_id, start (position of its first sample), x (samples), total (samples of the whole signal, NULL while unknown) and ts
 (event time). ``FrameAssembler`` keeps, for every signal, the frames that still miss samples; a frame is described and forgotten as soon as
 its last sample is there, so state holds incomplete frames only, and which frames are done: all below a number, and single ones above it.
+State is read and written in blocks of BLOCK frames, as every call to it goes over a socket: a piece costs a few calls, not some per frame.
 Samples that come again change nothing. A signal that has been quiet for ``idle`` of event time is closed: its incomplete frames are
 described from what is there, with their count, and all state goes.
 
@@ -28,24 +29,38 @@ STORE = {
 }
 
 
+#: Frames that lie together in one entry of the state.
+BLOCK = 64
+
+
 class FrameAssembler(StatefulProcessor):
     def __init__(self, length: int, hop: int, idle_ms: int):
         self.length, self.hop, self.idle_ms = length, hop, idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getMapState("open", "frame long", "data binary, seen binary")
-        self.done = handle.getMapState("done", "frame long", "n int")
+        # per block: which frames are open, their samples and which of these are there, one after the other; which frames are done
+        self.blocks = handle.getMapState("blocks", "block long", "frames binary, data binary, seen binary, done binary")
         self.about = handle.getValueState("about", "upto long, total long, timer long")
 
     def needed(self, frame: int, total: int | None) -> int:
         return self.length if total is None else min(self.length, total - frame * self.hop)
 
-    def load(self, frame: int) -> tuple[np.ndarray, np.ndarray]:
-        held = self.open.getValue((frame,)) if self.open.containsKey((frame,)) else None
-        if held is None:
-            return np.zeros(self.length), np.zeros(self.length, bool)
-        return np.frombuffer(held[0], "<f8").copy(), np.frombuffer(held[1], bool).copy()
+    def load(self, block: int) -> tuple[dict, set]:
+        """The open frames of a block (data, seen) and those that are done, by number."""
+        if not self.blocks.containsKey((block,)):
+            return {}, set()
+        frames, data, seen, done = self.blocks.getValue((block,))
+        data, seen = np.frombuffer(data, "<f8").reshape(-1, self.length), np.frombuffer(seen, bool).reshape(-1, self.length)
+        return {int(f): (d.copy(), s.copy()) for f, d, s in zip(np.frombuffer(frames, "<i8"), data, seen)}, set(np.frombuffer(done, "<i8").tolist())
+
+    def keep(self, block: int, opened: dict, done: set) -> None:
+        if not opened and not done:
+            self.blocks.removeKey((block,))
+            return
+        held = sorted(opened)
+        data, seen = (b"".join(opened[f][i].astype(kind).tobytes() for f in held) for i, kind in ((0, "<f8"), (1, bool)))
+        self.blocks.updateValue((block,), (np.array(held, "<i8").tobytes(), data, seen, np.array(sorted(done), "<i8").tobytes()))
 
     def described(self, key, rows: list[tuple[int, np.ndarray, np.ndarray]]) -> pd.DataFrame:
         made = [(*key, frame, int(seen.sum()), float(np.sqrt(np.mean(data[seen] ** 2))), float(np.mean(data[seen]))) for frame, data, seen in rows]
@@ -53,7 +68,7 @@ class FrameAssembler(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         upto, total, timer = self.about.get() if self.about.exists() else (0, None, None)
-        known, latest, touched = total is not None, None, {}
+        known, latest, held, touched = total is not None, None, {}, set()
         for pdf in rows:
             for start, x, whole, ts in zip(pdf["start"], pdf["x"], pdf["total"], pdf["ts"]):
                 total = total if whole is None or pd.isna(whole) else int(whole)
@@ -61,32 +76,43 @@ class FrameAssembler(StatefulProcessor):
                 x, start = np.asarray(x, "float64"), int(start)
                 first, last = max(-(-(start - self.length + 1) // self.hop), upto, 0), (start + len(x) - 1) // self.hop
                 for frame in range(first, last + 1):
-                    if frame not in touched:
-                        if self.done.containsKey((frame,)):
-                            continue
-                        touched[frame] = self.load(frame)
-                    data, seen = touched[frame]
+                    block = frame // BLOCK
+                    if block not in held:
+                        held[block] = self.load(block)
+                    opened, done = held[block]
+                    if frame in done:
+                        continue
                     a, b = max(start, frame * self.hop), min(start + len(x), frame * self.hop + self.length)
                     if a < b:
                         # frames may have gaps between them
+                        data, seen = opened.setdefault(frame, (np.zeros(self.length), np.zeros(self.length, bool)))
                         data[a - frame * self.hop : b - frame * self.hop] = x[a - start : b - start]
                         seen[a - frame * self.hop : b - frame * self.hop] = True
+                        touched.add(frame)
         if total is not None and not known:
-            for (frame,) in list(self.open.keys()):
-                if frame not in touched:
-                    touched[frame] = self.load(frame)
-        whole = []
-        for frame, (data, seen) in sorted(touched.items()):
-            if seen.sum() >= self.needed(frame, total) and seen.any():
+            for (block,) in list(self.blocks.keys()):
+                if block not in held:
+                    held[block] = self.load(block)
+            touched = {frame for opened, _ in held.values() for frame in opened}
+        whole, changed = [], {frame // BLOCK for frame in touched}
+        for frame in sorted(touched):
+            opened, done = held[frame // BLOCK]
+            data, seen = opened[frame]
+            if seen.sum() >= self.needed(frame, total):
                 whole.append((frame, data, seen))
-                self.done.updateValue((frame,), (1,))
-                if self.open.containsKey((frame,)):
-                    self.open.removeKey((frame,))
-            elif seen.any():
-                self.open.updateValue((frame,), (data.astype("<f8").tobytes(), seen.tobytes()))
-        while self.done.containsKey((upto,)):
-            self.done.removeKey((upto,))
+                done.add(frame)
+                del opened[frame]
+        while True:
+            block = upto // BLOCK
+            if block not in held:
+                held[block] = self.load(block)
+            if upto not in held[block][1]:
+                break
+            held[block][1].remove(upto)
+            changed.add(block)
             upto += 1
+        for block in sorted(changed):
+            self.keep(block, *held[block])
         if latest is not None and not pd.isna(latest):
             due = int(pd.Timestamp(latest).timestamp() * 1000) + self.idle_ms
             if timer is None or due > timer:
@@ -99,8 +125,8 @@ class FrameAssembler(StatefulProcessor):
             yield self.described(key, whole)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        left = [(frame, *self.load(frame)) for frame in sorted(f for (f,) in self.open.keys())]
-        for state in (self.open, self.done, self.about):
+        left = sorted((frame, *held) for (block,) in list(self.blocks.keys()) for frame, held in self.load(block)[0].items())
+        for state in (self.blocks, self.about):
             state.clear()
         if left:
             yield self.described(key, left)

@@ -93,3 +93,50 @@ def test_settings_of_the_session_come_back(spark):
     with samples.disk_state(spark):
         assert "RocksDB" in spark.conf.get(key)
     assert spark.conf.get(key) == before
+
+
+class Kept:
+    """A state variable in memory that counts the calls made to it."""
+
+    def __init__(self):
+        self.rows, self.calls = {}, 0
+
+    def __getattr__(self, name):
+        self.calls += 1
+        rows = self.rows
+        return {
+            "containsKey": rows.__contains__, "getValue": rows.get, "updateValue": rows.__setitem__, "removeKey": lambda k: rows.pop(k, None),
+            "keys": lambda: iter(list(rows)), "clear": rows.clear, "exists": lambda: () in rows, "get": lambda: rows[()], "update": lambda v: rows.__setitem__((), v),
+        }[name]
+
+
+class Handle:
+    def __init__(self):
+        self.made = []
+
+    def getMapState(self, *_):
+        self.made.append(Kept())
+        return self.made[-1]
+
+    getValueState = getMapState
+
+    def registerTimer(self, due):
+        pass
+
+    deleteTimer = registerTimer
+
+
+def test_calls_to_the_state_do_not_grow_with_the_frames():
+    """Every other piece first, then the rest: a few calls for each block of frames, not for each frame."""
+    import pandas as pd
+
+    x, handle = np.random.default_rng(3).normal(size=4000), Handle()
+    assembler = samples.FrameAssembler(8, 4, 1000)
+    assembler.init(handle)
+    made = []
+    for part in (range(0, 4000, 10), range(5, 4000, 10)):
+        pdf = pd.DataFrame([(at, x[at : at + 5], 4000, pd.Timestamp(START)) for at in part], columns=["start", "x", "total", "ts"])
+        made += list(assembler.handleInputRows(("a",), iter([pdf]), None))
+    got = pd.concat(made)
+    assert got["frame_idx"].tolist() == list(range(1000)) and np.allclose(got["mean"], [x[f * 4 : f * 4 + 8].mean() for f in range(1000)])
+    assert sum(kept.calls for kept in handle.made) < 200 and not handle.made[0].rows
