@@ -153,6 +153,19 @@ class Trained:
         )
 
 
+def merged(rows: DataFrame) -> DataFrame:
+    """The rows, persisted in as many partitions as their number asks for.
+
+    They are kept as they come first: else the one task of a merged partition would run the joins and sorts of all the
+    shuffle partitions in it, and a sort takes a memory page however few its rows are.
+    """
+    apart = rows.persist()
+    few = apart.coalesce(max(1, math.ceil(apart.count() / ROWS_PER_TASK))).persist()
+    few.count()
+    apart.unpersist()
+    return few
+
+
 def train(prepared: DataFrame, id_col: str, key: str, settings: Settings = DEFAULT, weighted: bool = False) -> Trained:
     """Fit imputer, scaler and model on the training part of prepared rows.
 
@@ -164,9 +177,7 @@ def train(prepared: DataFrame, id_col: str, key: str, settings: Settings = DEFAU
     rows = prepared.where(F.col("split") == "train").select(id_col, "label", "code", "features")
     if weighted and key == "nn":
         rows = ranking.balanced_sample(rows, id_col, "label", settings.seed)
-    # every fitted part below reads these rows many times: as many partitions as their number asks for
-    n_rows = rows.count()
-    rows = rows.coalesce(max(1, math.ceil(n_rows / ROWS_PER_TASK))).persist()
+    rows = merged(rows)  # every fitted part below reads these rows many times
     imputer = impute.fit_imputer(rows, max_rounds=settings.impute_rounds, tolerance=settings.impute_tolerance)
     filled = imputer.transform(rows)
     spark = prepared.sparkSession

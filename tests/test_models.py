@@ -43,6 +43,19 @@ def test_unknown_model(prepared):
         models.train(prepared, "id", "tree", SMALL)
 
 
+def test_merged_rows_are_made_in_tasks_of_their_own(spark):
+    @F.udf("long")
+    def task(_):
+        from pyspark import TaskContext
+
+        return TaskContext.get().taskAttemptId()
+
+    rows = models.merged(spark.range(0, 60, 1, 6).withColumn("task", task("id")))
+    assert rows.rdd.getNumPartitions() == 1 and rows.select("task").distinct().count() == 6
+    assert [r.id for r in rows.collect()] == list(range(60))
+    rows.unpersist()
+
+
 def test_imputer_finds_a_linear_rule(spark):
     rng = np.random.default_rng(6)
     a, b = rng.normal(size=400), rng.normal(size=400)
