@@ -6,14 +6,18 @@ import json
 import math
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from multiprocessing.pool import ThreadPool
+from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Model
+from pyspark import inheritable_thread_target
+from pyspark.ml import Model, PipelineModel
 from pyspark.ml import classification as C
 from pyspark.ml.base import Estimator
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.ml.util import DefaultParamsReader
@@ -27,13 +31,66 @@ from sigspark.session import stored
 
 FOURIER = 256
 ROWS_PER_TASK = 20_000
+# rows x trees of a forest fitted as one, and of a batch of a larger one
+WHOLE_FOREST = 1_000_000
+FOREST_BATCH = 2**16
+VOTES = "_votes"
 
 
-def random_forest(s: Settings, p: int, k: int) -> Estimator:
-    return C.RandomForestClassifier(
+class Forest:
+    """A random forest, fitted in batches of trees side by side where it is large.
+
+    Spark ML grows all trees of a forest in one chain of jobs with as many tasks as the rows have partitions: training rows
+    in one partition keep one core busy. A batch is a forest of its own with its own seed, over all rows; votes of batches
+    add up to those of the forest.
+    """
+
+    def __init__(self, whole: C.RandomForestClassifier):
+        self.whole = whole
+
+    def each(self, rows: DataFrame, use: Callable[[C.RandomForestClassificationModel], Any]) -> list:
+        """``use`` of every fitted batch, in order; only what it returns is kept."""
+        whole, n_rows = self.whole, max(1, rows.count())
+        n_trees = whole.getNumTrees()
+        if n_rows * n_trees <= WHOLE_FOREST:
+            return [use(whole.fit(rows))]
+        kept, size = merged(rows), max(1, FOREST_BATCH // n_rows)
+
+        def fitted(start: int):
+            part = {
+                whole.numTrees: min(size, n_trees - start), whole.seed: whole.getSeed() + 1000 * start, whole.maxMemoryInMB: 128,
+                whole.cacheNodeIds: True,  # else every task gets the trees so far, which the driver serialises one job at a time
+                whole.rawPredictionCol: f"{VOTES}{start}", whole.probabilityCol: "", whole.predictionCol: "",
+            }
+            return use(whole.copy(part).fit(kept))
+
+        spark = rows.sparkSession
+        at_once = max(1, spark.sparkContext.defaultParallelism // kept.rdd.getNumPartitions())
+        with ThreadPool(at_once) as pool:
+            made = pool.map(inheritable_thread_target(spark)(fitted), range(0, n_trees, size), chunksize=1)
+        kept.unpersist()
+        return made
+
+    def fit(self, rows: DataFrame) -> Model:
+        made = self.each(rows, lambda model: model)
+        return made[0] if len(made) == 1 else PipelineModel(made)
+
+
+def voted(df: DataFrame) -> DataFrame:
+    """The class with most votes over all batches, the first of equal ones; rows of other models as they are."""
+    votes = [c for c in df.columns if c.startswith(VOTES)]
+    if not votes:
+        return df
+    total = reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), [vector_to_array(v) for v in votes])
+    counted = df.withColumn("_total", total).drop(*votes)
+    return counted.withColumn("prediction", (F.array_position("_total", F.array_max("_total")) - 1).cast("double")).drop("_total")
+
+
+def random_forest(s: Settings, p: int, k: int) -> Forest:
+    return Forest(C.RandomForestClassifier(
         labelCol="code", weightCol="weight", numTrees=s.forest_trees, maxDepth=30, featureSubsetStrategy="sqrt", seed=s.seed,
         maxMemoryInMB=1024,
-    )
+    ))
 
 
 def boosting(s: Settings, p: int, k: int) -> Estimator:
@@ -63,7 +120,7 @@ def feed_forward(s: Settings, p: int, k: int) -> Estimator:
 
 
 # key -> builder of the estimator (settings, features, classes); knn has no fitted part
-MODELS: dict[str, Callable[[Settings, int, int], Estimator] | None] = {
+MODELS: dict[str, Callable[[Settings, int, int], Estimator | Forest] | None] = {
     "lr": logistic,
     "ols": least_squares,
     "svc": support_vectors,
@@ -116,7 +173,7 @@ class Trained:
         else:
             if self.key == "svc":
                 rows = fourier_features(rows, len(self.imputer.kept), self.settings.seed)
-            made = self.model.transform(rows.withColumn("features", array_to_vector("features")))
+            made = voted(self.model.transform(rows.withColumn("features", array_to_vector("features"))))
             code = F.col("prediction")
             if self.key == "ols":
                 k = self.label_map.count()
@@ -224,13 +281,28 @@ def sweep_forest(ready: DataFrame, settings: Settings, trees=(100, 200, 500, 100
     return ready.sparkSession.createDataFrame(rows, "n_trees int, depth int, accuracy double")
 
 
-def importance(model: Model, names: list[str], spark: SparkSession) -> DataFrame:
-    """Importance of each feature and its population deviation over the trees."""
-    per_tree = np.array([t.featureImportances.toArray() for t in model.trees])
-    whole = model.featureImportances.toArray()
+def _tree_importances(model: C.RandomForestClassificationModel) -> tuple[np.ndarray, np.ndarray]:
+    """Importances of the forest, and of each tree."""
+    return model.featureImportances.toArray(), np.array([t.featureImportances.toArray() for t in model.trees])
+
+
+def _importance_table(parts: list[tuple[np.ndarray, np.ndarray]], names: list[str], spark: SparkSession) -> DataFrame:
+    per_tree = np.concatenate([trees for _, trees in parts])
+    whole = parts[0][0] if len(parts) == 1 else per_tree.sum(0) / max(per_tree.sum(), 1e-300)
     rows = [(n, float(whole[i]), float(per_tree[:, i].std())) for i, n in enumerate(names)]
     return spark.createDataFrame(rows, "feature string, importance double, std double")
 
 
+def importance(model: Model, names: list[str], spark: SparkSession) -> DataFrame:
+    """Importance of each feature and its population deviation over the trees."""
+    batches = model.stages if isinstance(model, PipelineModel) else [model]
+    return _importance_table([_tree_importances(m) for m in batches], names, spark)
+
+
+def fitted_importance(forest: Forest, rows: DataFrame, names: list[str]) -> DataFrame:
+    """``importance`` of the forest fitted to ``rows``; the driver keeps the numbers of its trees, not the trees."""
+    return _importance_table(forest.each(rows, _tree_importances), names, rows.sparkSession)
+
+
 def top_features(table: DataFrame, n: int = 20) -> DataFrame:
     return table.orderBy(F.col("importance").desc(), "feature").limit(n)

@@ -83,8 +83,8 @@ def q_feature_importance(spark, d):
     from pyspark.ml.functions import array_to_vector
 
     rows = _complete_rows(spark, d).withColumn("weight", F.lit(1.0)).withColumn("features", array_to_vector("features"))
-    forest = models.random_forest(QUICK, 64, 10).fit(rows)
-    table = models.importance(forest, [f"f{i:02d}" for i in range(64)], spark)
+    forest = models.random_forest(QUICK, 64, 10)
+    table = models.fitted_importance(forest, rows, [f"f{i:02d}" for i in range(64)])
     return rounded(models.top_features(table))
 
 

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from clips import noise, tone, write
 from dataclasses import replace
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from sigspark.config import DEFAULT
@@ -38,6 +39,25 @@ def test_separable_classes(spark, prepared, key, tmp_path):
         assert again.settings == SMALL and a.exceptAll(again.score(test, "id").select("id", "predicted")).count() == 0
 
 
+def test_forest_in_batches(spark, prepared, tmp_path, monkeypatch):
+    monkeypatch.setattr(models, "WHOLE_FOREST", 0)
+    monkeypatch.setattr(models, "FOREST_BATCH", 1500)
+    made, report = models.train_and_report(prepared, "id", "rf", SMALL, weighted=True)
+    sizes = [m.getNumTrees for m in made.model.stages]
+    assert sum(sizes) == SMALL.forest_trees and len(sizes) > 2
+    assert len({t.toDebugString.split("\n", 1)[1] for m in made.model.stages for t in m.trees}) > SMALL.forest_trees // 2
+    assert {r["name"]: r for r in report.collect()}["accuracy"].f1 >= 0.9
+    made.write(spark, str(tmp_path / "rf"))
+    test = prepared.where("split = 'test'")
+    a, b = (m.score(test, "id").select("id", "predicted") for m in (made, models.Trained.read(spark, str(tmp_path / "rf"))))
+    assert a.exceptAll(b).count() == 0 and a.count() == test.count()
+    ready = prepare.impute_mean(prepared, prepare.column_statistics(prepared)).withColumn("weight", F.lit(1.0))
+    rows, forest = ready.withColumn("features", array_to_vector("features")), models.random_forest(SMALL, 6, 4)
+    kept, unkept = models.importance(forest.fit(rows), list("abcdef"), spark), models.fitted_importance(forest, rows, list("abcdef"))
+    assert kept.collect() == unkept.collect() and sum(r.importance for r in kept.collect()) == pytest.approx(1)
+    assert {r.feature for r in models.top_features(kept, 4).collect()} == set("abcd")
+
+
 def test_unknown_model(prepared):
     with pytest.raises(KeyError):
         models.train(prepared, "id", "tree", SMALL)
