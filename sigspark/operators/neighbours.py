@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -20,6 +22,10 @@ BLOCK = 20_000
 MAX_BLOCKS = 100_000
 #: Numbers of features that a batch of (query, block) pairs holds in Python.
 PAIR_CELLS = 500_000
+#: Numbers of features, and rows, of a shelf of blocks and of the group of queries that meets it in one task.
+SHELF_CELLS, SHELF_ROWS = 4_000_000, 200_000
+#: Queries and rows whose distances are computed at once.
+SLICE, CHUNK = 256, 8192
 #: Principal directions that a block's box is measured in.
 AXES = 6
 
@@ -237,6 +243,134 @@ def search_blocks(asked: DataFrame, blocks: Blocks, k: int, schema: str, block:
     return left.drop("_groups").groupBy("_block", "_group").cogroup(right.drop("_groups").groupBy("_block", "_group")).applyInPandas(meet, schema)
 
 
+def shelved(blocks: Blocks, width: int, tasks: int) -> np.ndarray:
+    """The shelf of every block: neighbouring blocks, together as many rows as a task may hold, fewer where there would be less than ``tasks`` shelves."""
+    total = int(blocks.sizes.sum())
+    rows = max(1, min(SHELF_CELLS // max(1, width), SHELF_ROWS, -(-total // tasks)))
+    order = sorted(range(len(blocks.ids)), key=lambda i: [int(part) for part in blocks.ids[i].split("/")])
+    out = np.zeros(len(order), "int64")
+    before = np.cumsum(blocks.sizes[order]) - blocks.sizes[order]
+    out[order] = np.unique(before // rows, return_inverse=True)[1]
+    return out
+
+
+def shelves_asked(queries: DataFrame, blocks: Blocks, shelf: np.ndarray, kind: str) -> DataFrame:
+    """(query_id, features, bound, _shelf): the shelves with a block whose box is not farther away than ``bound``, one copy of a query for each."""
+    order = np.argsort(shelf, kind="stable")
+    parts = Blocks(None, blocks.axes, blocks.ids[order], blocks.sizes[order], blocks.low[order], blocks.high[order])
+    starts = np.flatnonzero(np.diff(shelf[order], prepend=-1))
+    shared = queries.sparkSession.sparkContext.broadcast((parts, starts))
+
+    def run(batches):
+        b, at_shelf = shared.value
+        step = max(1, 2_000_000 // max(1, len(b.ids)))
+        for pdf in batches:
+            for at in range(0, len(pdf), step):
+                part = pdf.iloc[at : at + step]
+                hit = b.bounds(_matrix(part["_c"])) <= part["bound"].to_numpy()[:, None]
+                found = np.logical_or.reduceat(hit, at_shelf, axis=1)
+                yield part.drop(columns="_c").assign(_shelves=[np.flatnonzero(row) for row in found])
+
+    rows = with_coordinates(queries, blocks.axes).select("query_id", "features", "bound", "_c")
+    made = rows.mapInPandas(run, f"query_id {kind}, features array<double>, bound double, _shelves array<long>")
+    return made.select("query_id", "features", "bound", F.explode("_shelves").alias("_shelf"))
+
+
+def _rows_of(column: pa.ChunkedArray) -> np.ndarray:
+    lists = column.combine_chunks()
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
+
+def _first_k(which: np.ndarray, d: np.ndarray, ties: np.ndarray, k: int) -> np.ndarray:
+    """Places of the first k of every value of ``which``, by ``d``, then ``ties``."""
+    order = np.lexsort((ties, d, which))
+    group = which[order]
+    starts = np.flatnonzero(np.diff(group, prepend=-1))
+    rank = np.arange(len(group)) - np.repeat(starts, np.diff(starts, append=len(group)))
+    return order[rank < k]
+
+
+def _search_shelf(q: np.ndarray, bound: np.ndarray, rows: np.ndarray, ties: np.ndarray, at: np.ndarray, box: Blocks, k: int):
+    """(query, row, squared distance) of the k nearest of ``rows`` within ``bound`` of each query; ``at`` is every row's block.
+
+    Queries with the same nearest block go in slices, which leave out blocks that none of them needs. Products of a slice with some rows
+    at a time tell which rows are near enough, allowing for the rounding; only those are measured, and the best so far tighten the bound.
+    """
+    order = np.argsort(at, kind="stable")
+    rows, ties = rows[order], ties[order]
+    edges = np.searchsorted(at[order], np.arange(len(box.ids) + 1))
+    p = q @ box.axes
+    own = (q**2).sum(1)
+    c = np.column_stack([p, np.sqrt(np.maximum(own - (p**2).sum(1), 0))])
+    step = max(1, 2_000_000 // max(1, len(box.ids)))
+    nearest = np.concatenate([box.bounds(c[i : i + step]).argmin(1) for i in range(0, len(q), step)])
+    square = (rows**2).sum(1)
+    slack = 1e-9 * (1 + own.max() + square.max())
+    turn, found = np.argsort(nearest, kind="stable"), []
+    for start in range(0, len(q), SLICE):
+        some = turn[start : start + SLICE]
+        hit = np.concatenate([(box.bounds(c[some[i : i + step]]) <= bound[some[i : i + step], None]).any(0, keepdims=True) for i in range(0, len(some), step)]).any(0)
+        ranges = [np.arange(edges[b], edges[b + 1]) for b in np.flatnonzero(hit)]
+        if not ranges:
+            continue
+        near = np.concatenate(ranges)
+        x = q[some]
+        # of |q - r|^2 <= t, the parts that depend on r: q r - |r|^2 / 2 >= (|q|^2 - t) / 2
+        least = (own[some] - bound[some] ** 2 - slack) / 2
+        kept_q, kept_r, kept_v = np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0)
+        for i in range(0, len(near), CHUNK):
+            part = near[i : i + CHUNK]
+            value = x @ rows[part].T - square[part] / 2
+            a, b = np.nonzero(value >= least[:, None])
+            kept_q, kept_r, kept_v = np.concatenate([kept_q, a]), np.concatenate([kept_r, part[b]]), np.concatenate([kept_v, value[a, b]])
+            if len(kept_q) > 20 * k * len(some) or i + CHUNK >= len(near):
+                best = _first_k(kept_q, -kept_v, kept_r, k)
+                counts = np.bincount(kept_q[best], minlength=len(some))
+                low = np.full(len(some), np.inf)
+                np.minimum.at(low, kept_q[best], kept_v[best])
+                least = np.where(counts >= k, np.maximum(least, low - slack), least)
+                stay = kept_v >= least[kept_q]
+                kept_q, kept_r, kept_v = kept_q[stay], kept_r[stay], kept_v[stay]
+        exact = ((rows[kept_r] - x[kept_q]) ** 2).sum(1)
+        best = _first_k(kept_q, exact, ties[kept_r], k)
+        found.append((some[kept_q[best]], order[kept_r[best]], exact[best]))
+    if not found:
+        return np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0)
+    return tuple(np.concatenate(part) for part in zip(*found))
+
+
+def search_shelves(bounded: DataFrame, blocks: Blocks, k: int, kind: str, schema: str, width: int) -> DataFrame:
+    """The k nearest rows within ``bound`` of every query, for each shelf of blocks it needs.
+
+    A query is copied once for every shelf, not for every block, and a row once for every group of queries that asks for its shelf.
+    """
+    spark = bounded.sparkSession
+    shelf = shelved(blocks, width, 2 * spark.sparkContext.defaultParallelism)
+    asked = shelves_asked(stored(bounded, "knn-bounded"), blocks, shelf, kind)
+    size = max(1, min(SHELF_CELLS // width, SHELF_ROWS))
+    groups = {r["_shelf"]: r["n"] for r in asked.groupBy("_shelf").agg(F.ceil(F.count(F.lit(1)) / size).alias("n")).collect()}  # one row per shelf
+    places = [(str(b), int(i), int(s), int(groups[s])) for i, (b, s) in enumerate(zip(blocks.ids, shelf)) if s in groups]
+    dealt = spark.createDataFrame(places, "_block string, _at int, _shelf long, _groups long")  # one row per block
+    left = asked.join(F.broadcast(dealt.select("_shelf", "_groups").distinct()), "_shelf")
+    left = left.withColumn("_group", F.pmod(F.xxhash64("query_id", "features"), F.col("_groups"))).drop("_groups")
+    right = blocks.rows.join(F.broadcast(dealt), "_block").withColumn("_group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_groups") - 1)))
+    right = right.select("row_id", "label", "features", "_at", "_shelf", "_group")
+    shared = spark.sparkContext.broadcast((blocks.axes, blocks.ids, blocks.sizes, blocks.low, blocks.high))
+    names = ["query_id", "row_id", "label", "dist"]
+
+    def meet(a: pa.Table, b: pa.Table) -> pa.Table:
+        if a.num_rows == 0 or b.num_rows == 0:
+            return pa.table({"query_id": a["query_id"][:0], "row_id": b["row_id"][:0], "label": b["label"][:0], "dist": pa.array([], pa.float64())})
+        axes, ids, sizes, low, high = shared.value
+        at, local = np.unique(b["_at"].to_numpy(), return_inverse=True)
+        ties = np.unique(_ids(b["row_id"].to_pandas()), return_inverse=True)[1]
+        box = Blocks(None, axes, ids[at], sizes[at], low[at], high[at])
+        which, row, d = _search_shelf(_rows_of(a["features"]), a["bound"].to_numpy(), _rows_of(b["features"]), ties, local, box, k)
+        return pa.table([pc.take(a["query_id"], pa.array(which)), pc.take(b["row_id"], pa.array(row)), pc.take(b["label"], pa.array(row)), pa.array(d)], names)
+
+    return left.groupBy("_shelf", "_group").cogroup(right.groupBy("_shelf", "_group")).applyInArrow(meet, schema)
+
+
 def k_nearest(
     queries: DataFrame, train: DataFrame, id_col: str, k: int, max_cells: int = MAX_BROADCAST_CELLS, block: int = BLOCK
 ) -> DataFrame:
@@ -246,10 +380,11 @@ def k_nearest(
     matrix product. A larger set is cut into blocks of near rows (``cut_into_blocks``) and searched twice:
 
     * every query meets the nearest blocks that hold k rows; its k-th distance there is an upper bound;
-    * it then meets every block whose box is not farther away than that. What is left out is proven to be farther.
+    * it then meets every block whose box is not farther away than that. What is left out is proven to be farther. For this,
+      neighbouring blocks are put together in shelves (``search_shelves``).
 
-    So training rows stay where they are but for one copy per group of queries, and a query is copied to the blocks it needs. In
-    data without any structure these may be all blocks; the answer is exact in any case.
+    So training rows stay where they are but for one copy per group of queries, and a query is copied to the shelves it needs. In
+    data without any structure these may be all of them; the answer is exact in any case.
 
     Defined cases: without training rows there are no neighbours; with fewer than k all of them are; equal distances go by
     the row id; repeated rows count each.
@@ -283,7 +418,7 @@ def k_nearest(
     total = int(blocks.sizes.sum())
     bound = F.when(F.col("n") >= min(k, total), F.sqrt("d") * (1 + 1e-9) + 1e-9).otherwise(F.lit(float("inf"))).alias("bound")
     bounded = queries.join(bounds.select("query_id", bound), "query_id")
-    met = search_blocks(blocks_asked(bounded, blocks, k, kind), blocks, k, schema, block)
+    met = search_shelves(bounded, blocks, k, kind, schema, width)
     return met.withColumn("_r", F.row_number().over(ranked)).where(F.col("_r") <= k).drop("_r")
 
 

@@ -120,3 +120,49 @@ def test_pairs_come_in_bounded_batches(monkeypatch):
     rows = [r for m in made for r in zip(m["query_id"], m["_block"], m["features"])]
     assert sorted((q, b) for q, b, _ in rows) == sorted((q, f"b{i}") for q, i in zip(*map(np.ndarray.tolist, np.nonzero(hit))))
     assert all((f == q).all() for q, _, f in rows)
+
+
+def test_queries_are_copied_per_shelf_not_per_block(spark, monkeypatch):
+    """Rows without structure, so that every query needs every block: what is written does not grow with the blocks."""
+    rng = np.random.default_rng(9)
+    x, q = rng.normal(size=(900, 16)), rng.normal(size=(70, 16))
+    ids, q_ids = [f"r{i:03d}" for i in range(900)], [f"q{i}" for i in range(70)]
+    written, keep = {}, neighbours.stored
+
+    def counted(df, name):
+        out = keep(df, name)
+        written[name] = written.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(neighbours, "stored", counted)
+    got = neighbours.k_nearest(frame(spark, q_ids, [0] * 70, q), frame(spark, ids, [0] * 900, x), "id", 5, max_cells=0, block=20).collect()
+    assert {(r.query_id, r.row_id) for r in got} == brute(q, q_ids, x, ids, 5) and len(got) == 350
+    assert sum(n for name, n in written.items() if name != "knn-blocks") <= 3 * 70
+
+
+def test_shelves_hold_whole_blocks_within_their_size(monkeypatch):
+    monkeypatch.setattr(neighbours, "SHELF_CELLS", 1000)
+    sizes = np.array([30, 5, 40, 20, 40, 10, 40, 15])
+    blocks = neighbours.Blocks(None, None, np.array(["0/0", "0/1", "1/0", "10/0", "2/0", "3/0", "4/0", "9/0"]), sizes, None, None)
+    shelf = neighbours.shelved(blocks, 10, 1)
+    held = np.bincount(shelf, sizes)
+    assert len(held) > 1 and (held > 0).all() and held.max() < 100 + sizes.max()
+    assert (np.diff(shelf[[0, 1, 2, 4, 5, 6, 7, 3]]) >= 0).all()  # cell 10 comes last
+
+
+@pytest.mark.parametrize("bound", [np.inf, 3.0])
+def test_a_shelf_gives_the_nearest_of_its_rows(monkeypatch, bound):
+    """In small slices and chunks, with equal distances and repeated rows."""
+    monkeypatch.setattr(neighbours, "SLICE", 7)
+    monkeypatch.setattr(neighbours, "CHUNK", 11)
+    rng = np.random.default_rng(10)
+    rows, q = rng.integers(0, 3, (200, 4)).astype(float), rng.integers(0, 3, (30, 4)).astype(float)
+    at, ties, axes = rng.integers(0, 6, 200), rng.permutation(200), np.eye(4)[:, :2]
+    c = np.column_stack([rows @ axes, np.sqrt((rows[:, 2:] ** 2).sum(1))])
+    low, high = (np.array([f(c[at == b], axis=0) for b in range(6)]) for f in (np.min, np.max))
+    box = neighbours.Blocks(None, axes, np.arange(6), np.bincount(at), low, high)
+    which, row, d = neighbours._search_shelf(q, np.full(30, bound), rows, ties, at, box, 5)
+    away = ((rows[None] - q[:, None]) ** 2).sum(2)
+    for i in range(30):
+        want = np.lexsort((ties, away[i]))[:5]
+        assert row[which == i].tolist() == want.tolist() and d[which == i].tolist() == away[i][want].tolist()
