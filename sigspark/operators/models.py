@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigspark.config import DEFAULT, Settings
-from sigspark.operators import evaluate, impute, neighbours, prepare, ranking
+from sigspark.operators import evaluate, impute, neighbours, prepare, ranking, trees
 from sigspark.operators.segments import join_small
 from sigspark.session import stored
 
@@ -34,6 +34,8 @@ ROWS_PER_TASK = 20_000
 # rows x trees of a forest fitted as one, and of a batch of a larger one
 WHOLE_FOREST = 1_000_000
 FOREST_BATCH = 2**16
+# rows x trees above which trees that are wanted for their importances only are grown whole in tasks
+GROWN_APART = 1_000_000
 VOTES = "_votes"
 
 
@@ -300,7 +302,15 @@ def importance(model: Model, names: list[str], spark: SparkSession) -> DataFrame
 
 
 def fitted_importance(forest: Forest, rows: DataFrame, names: list[str]) -> DataFrame:
-    """``importance`` of the forest fitted to ``rows``; the driver keeps the numbers of its trees, not the trees."""
+    """``importance`` of the forest fitted to ``rows``; the driver keeps the numbers of its trees, not the trees.
+
+    The trees of a large forest are grown by ``trees.tree_importances``: no model has to be made of them.
+    """
+    n_rows = rows.count()
+    if n_rows * forest.whole.getNumTrees() > GROWN_APART:
+        per_tree = trees.tree_importances(forest.whole, rows, n_rows)
+        if per_tree is not None:
+            return _importance_table([(per_tree.sum(0) / max(per_tree.sum(), 1e-300), per_tree)], names, rows.sparkSession)
     return _importance_table(forest.each(rows, _tree_importances), names, rows.sparkSession)
 
 
