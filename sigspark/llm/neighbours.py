@@ -1,27 +1,24 @@
-"""Approximate nearest neighbours: an NN-descent graph, searched greedily.
+"""Approximate nearest neighbours: NN-descent graphs, searched greedily.
 
-Equal vectors are one node of the graph (named by its least vec_id, with the
-least KEEP ids of its copies), so copies cost nothing and crowd nothing out.
+Equal vectors are one node (named by its least vec_id, with the least KEEP ids of its copies), so copies cost nothing and crowd nothing out.
 
-Building. Nodes meet at random in small groups, which gives each node its first
+Parts. Nodes are dealt into parts by hash, at most about PART of them in each: a part's vectors and graph fit a task. So a vector moves
+once, whatever the rounds, and a part's recall doesn't depend on the size of the table.
+
+Building. In each part, nodes meet at random in small groups, which gives each node its first
 DEGREE neighbours. Then, round by round, the neighbours of every node (both
-directions, at most SAMPLE new and SAMPLE old ones, picked by hash) are joined with
-their vectors and meet each other: a neighbour's neighbour that is nearer than the
-worst of a node's list enters it. A round is a few joins and map-side limited
-windows over narrow rows; its vectors are 32-bit floats, compared in double precision. Rounds end when less than SETTLED
+directions, at most SAMPLE new and SAMPLE old ones, picked at random) meet each other: a neighbour's neighbour that is nearer than the
+worst of a node's list enters it. Vectors are 32-bit floats, compared in double precision. Rounds end when less than SETTLED
 of the lists change.
 
-Searching. All queries search together. A query's beam holds the BEAM best nodes
-seen; each round joins the beam's unexpanded nodes with their adjacency, scores the
-neighbours inside the tasks and keeps those above the beam's worst. It ends when
-no beam has an unexpanded node. Then the nearest nodes of TRIED queries, found by
-comparing them with every node, tell the recall; while it is below WANTED, all
-beams double and go on, until they could hold the whole table. A query that is itself indexed starts at its own node,
-and all start at SEEDS nodes. All nodes of a beam that are
-within ERROR of its KEEP-th best are then scored exactly, by cosine in double precision on the original vectors.
+Searching. Every query searches every part. Its beam holds the nearest nodes seen, at first the best of some random ones and, in the part
+that holds the query, its own node; each step opens the nearest nodes of the beam that weren't, and meets their neighbours. It ends when
+the ``beam`` nearest nodes are all open. The nearest nodes of TRIED queries, found by
+comparing them with every node, tell the recall; while it is below WANTED, the
+beam doubles, until it could hold a whole part. Then all queries search with that beam. All nodes that are
+within ERROR of the KEEP-th best are scored exactly, by cosine in double precision on the original vectors.
 
-Each table of a round is written to the shared folder, so a lost executor costs
-no more than a round.
+Graphs and answers are written to the shared folder; random choices come from the nodes' ids.
 
 Defined cases: vectors that are null, empty or zero, or hold null or non-finite
 components, take no part, neither do those whose length isn't the most frequent
@@ -37,7 +34,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,9 +45,13 @@ KEEP = NEAREST + 1
 DEGREE, SAMPLE, REVERSE = 20, 24, 64
 BEST_OF_GROUP = 6
 ROUNDS, SETTLED = 9, 0.08
-BEAM, SEEDS = 320, 4
+BEAM = 320
+#: Nodes of a part at most, and at least where there are tasks to spare; queries that search a part in one task.
+PART, SMALL_PART, ASKING = 20_000, 4_000, 50_000
 #: Above what 32-bit components change in a difference of two cosines.
 ERROR = 1e-6
+#: Nodes whose neighbours meet at once, and numbers of a table of queries x nodes.
+MEET_AT_ONCE, CELLS = 2_000, 8_000_000
 #: Queries that are compared with every node, and the recall their beams must reach.
 TRIED, WANTED = 128, 0.93
 #: Meetings and size of the random groups that the first lists come from.
@@ -104,102 +104,177 @@ def first_of(rows: DataFrame, key: list[str], order: list[Column], n: int) -> Da
     return rows.withColumn("__r", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).filter(F.col("__r") <= n).drop("__r")
 
 
-def met(groups: DataFrame) -> DataFrame:
-    """(node, other, near) of members of a group that are new to each other and
-    nearer than the worst of a member's list, the best few for each member."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            lists = batch.column("members")
-            ends = np.asarray(lists.offsets)
-            flat = lists.values
-            ids = flat.field("id").to_numpy(zero_copy_only=False)
-            fresh = flat.field("fresh").to_numpy(zero_copy_only=False).astype(bool)
-            worst = flat.field("worst").to_numpy(zero_copy_only=False)
-            x = unit(flat.field("code").to_pylist()) if len(flat) else np.zeros((0, 1))
-            found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-            for b, e in zip(ends[:-1], ends[1:], strict=True):
-                new = np.nonzero(fresh[b:e])[0]
-                if e - b < 2 or not len(new):
-                    continue
-                near = x[b:e][new] @ x[b:e].T
-                near[np.arange(len(new)), new] = -2
-                own, low = ids[b:e], worst[b:e]
-                k = min(BEST_OF_GROUP, near.shape[1]) - 1
-                rows = near >= np.maximum(np.partition(near, -k - 1, axis=1)[:, -k - 1], np.nextafter(low[new], 3))[:, None]
-                k = min(BEST_OF_GROUP, near.shape[0]) - 1
-                columns = near >= np.maximum(np.partition(near, -k - 1, axis=0)[-k - 1], np.nextafter(low, 3))[None, :]
-                for keep, flip in ((rows & (near > -2), False), (columns & (near > -2), True)):
-                    i, j = np.nonzero(keep)
-                    found.append((own[j], own[new[i]], near[i, j]) if flip else (own[new[i]], own[j], near[i, j]))
-            if found:
-                a, b, s = (np.concatenate(c) for c in zip(*found, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s, pa.float64())], ["node", "other", "near"])
-
-    return small_batches(groups).mapInArrow(run, "node long, other long, near double")
-
-
-def members(fresh: Column | str, worst: Column | str, node: str = "node") -> Column:
-    return F.collect_list(F.struct(F.col(node).alias("id"), F.col(fresh).alias("fresh"), F.col(worst).cast("double").alias("worst"), "code")).alias("members")
-
-
-def build(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """The graph: node, other, near, fresh; at most DEGREE rows per node."""
-    codes = nodes.select("node", "code")
-    total = max(1, nodes.count())
-    places = F.array(*[F.xxhash64(F.col("node"), F.lit(m)) for m in range(MEETINGS)])
-    spread = codes.withColumn("fresh", F.lit(True)).withColumn("worst", F.lit(-2.0)).select("*", F.posexplode(places).alias("meeting", "spot"))
-    groups = spread.groupBy("meeting", F.pmod("spot", F.lit(-(-total // MEETING))).alias("group")).agg(members("fresh", "worst"))
-    by_near = [F.desc("near"), F.col("other")]
-    start = met(groups).groupBy("node", "other").agg(F.max("near").alias("near")).withColumn("fresh", F.lit(True))
-    graph = stored(first_of(start, ["node"], by_near, DEGREE), "graph")
-    for i in range(rounds):
-        both = graph.select("node", "other", "fresh").union(graph.select(F.col("other").alias("node"), F.col("node").alias("other"), "fresh"))
-        both = both.groupBy("node", "other").agg(F.max("fresh").alias("fresh"))
-        picked = first_of(both, ["node", "fresh"], [F.xxhash64("other", "node", F.lit(i)), F.col("other")], SAMPLE)
-        worst = graph.groupBy("node").agg(F.when(F.count(F.lit(1)) >= DEGREE, F.min("near")).otherwise(F.lit(-2.0)).alias("worst"))
-        known = codes.join(worst, "node", "left").select(F.col("node").alias("other"), "code", F.coalesce("worst", F.lit(-2.0)).alias("worst"))
-        groups = picked.join(known, "other").groupBy("node").agg(members("fresh", "worst", "other"))
-        more = met(groups).groupBy("node", "other").agg(F.max("near").alias("near")).withColumn("fresh", F.lit(True))
-        merged = graph.withColumn("fresh", F.lit(False)).unionByName(more).groupBy("node", "other").agg(F.max("near").alias("near"), F.min("fresh").alias("fresh"))
-        graph = stored(first_of(merged, ["node"], by_near, DEGREE), "graph")
-        if graph.filter("fresh").count() < SETTLED * total * DEGREE:
+def _ranks(key: np.ndarray) -> np.ndarray:
+    """Place of every element among the equal ones of a sorted array."""
+    starts = np.flatnonzero(np.diff(key, prepend=key[:1] - 1))
+    return np.arange(len(key)) - np.repeat(starts, np.diff(starts, append=len(key)))
+
+
+class Lists:
+    """The DEGREE nearest nodes that each node of a part has met so far, nearest first; -1 is none."""
+
+    def __init__(self, x: np.ndarray):
+        n = len(x)
+        self.x, self.other = x, np.full((n, DEGREE), -1, "int64")
+        self.near, self.fresh = np.full((n, DEGREE), -2.0), np.zeros((n, DEGREE), bool)
+
+    def enter(self, node: np.ndarray, other: np.ndarray, near: np.ndarray) -> None:
+        """Nodes ``other`` that ``node`` has met; pairs may come again."""
+        n = len(self.x)
+        touched = np.unique(node)
+        old = self.other[touched].ravel()
+        owner, held = np.repeat(touched, DEGREE), old >= 0
+        # a pair that is already listed stays as it is: its first place counts
+        key = np.concatenate([owner[held] * n + old[held], node * n + other])
+        near = np.concatenate([self.near[touched].ravel()[held], near])
+        fresh = np.concatenate([self.fresh[touched].ravel()[held], np.ones(len(node), bool)])
+        key, at = np.unique(key, return_index=True)
+        node, other = np.divmod(key, n)
+        order = np.lexsort((other, -near[at], node))
+        rank = _ranks(node[order])
+        order, rank = order[rank < DEGREE], rank[rank < DEGREE]
+        self.other[touched], self.near[touched], self.fresh[touched] = -1, -2.0, False
+        to = (node[order], rank)
+        self.other[to], self.near[to], self.fresh[to] = other[order], near[at][order], fresh[at][order]
+
+    def both_ways(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(node, other, near, fresh) of all links, and again from their other end."""
+        node, other = np.repeat(np.arange(len(self.x)), DEGREE), self.other.ravel()
+        held = other >= 0
+        node, other, near, fresh = node[held], other[held], self.near.ravel()[held], self.fresh.ravel()[held]
+        return np.concatenate([node, other]), np.concatenate([other, node]), np.tile(near, 2), np.tile(fresh, 2)
+
+    def meet_at_random(self, rng: np.random.Generator) -> None:
+        n = len(self.x)
+        for _ in range(MEETINGS):
+            dealt = np.full(-(-n // MEETING) * MEETING, -1)
+            dealt[:n] = rng.permutation(n)
+            self._meet(dealt.reshape(-1, MEETING), MEETING)
+
+    def meet_neighbours(self, rng: np.random.Generator) -> int:
+        """One round; the number of links that are new."""
+        n = len(self.x)
+        node, other, _, fresh = self.both_ways()
+        key = np.sort((node * n + other) * 2 + ~fresh)  # new before old
+        key = key[np.diff(key >> 1, prepend=-1) != 0]
+        old, (node, other) = key & 1, np.divmod(key >> 1, n)
+        kind = node * 2 + old
+        order = np.lexsort((rng.random(len(kind)), kind))
+        rank = _ranks(kind[order])
+        some = order[rank < SAMPLE]
+        members = np.full((n, 2 * SAMPLE), -1)
+        members[node[some], old[some] * SAMPLE + rank[rank < SAMPLE]] = other[some]
+        self.fresh[:] = False
+        members = members[(members[:, :SAMPLE] >= 0).any(1)]
+        for at in range(0, len(members), MEET_AT_ONCE):
+            self._meet(members[at : at + MEET_AT_ONCE], SAMPLE)
+        return int(self.fresh.sum())
+
+    def _meet(self, groups: np.ndarray, n_new: int) -> None:
+        """The first ``n_new`` members of a group meet all others; the best few for each member enter its list."""
+        x = self.x[groups]
+        near = x[:, :n_new] @ x.transpose(0, 2, 1)
+        new, all_ = groups[:, :n_new, None], groups[:, None, :]
+        near[(new < 0) | (all_ < 0) | (new == all_)] = -3
+        worst = self.near[groups, -1]
+        k = min(BEST_OF_GROUP, groups.shape[1])
+        for_new = (near >= np.partition(near, -k, axis=2)[:, :, -k, None]) & (near > worst[:, :n_new, None])
+        k = min(BEST_OF_GROUP, n_new)
+        for_all = (near >= np.partition(near, -k, axis=1)[:, -k, None, :]) & (near > worst[:, None, :])
+        g, i, j = np.nonzero(for_new)
+        h, p, q = np.nonzero(for_all)
+        node, other = np.concatenate([groups[g, i], groups[h, q]]), np.concatenate([groups[g, j], groups[h, p]])
+        if len(node):
+            self.enter(node, other, np.concatenate([near[g, i, j], near[h, p, q]]))
+
+
+def linked(x: np.ndarray, rounds: int, rng: np.random.Generator) -> np.ndarray:
+    """The graph of a part with unit vectors ``x``: the neighbours of every node in both directions, the nearest REVERSE of those that list it; -1 is none."""
+    n = len(x)
+    lists = Lists(x)
+    lists.meet_at_random(rng)
+    for _ in range(rounds):
+        if lists.meet_neighbours(rng) < SETTLED * n * DEGREE:
             break
-    return graph
+    node, other, near, _ = lists.both_ways()
+    half = len(node) // 2
+    order = np.lexsort((other[half:], -near[half:], node[half:])) + half
+    back = order[_ranks(node[order]) < REVERSE]
+    keep = np.concatenate([np.arange(half), back])
+    node, other = np.divmod(np.unique(node[keep] * n + other[keep]), n)
+    out = np.full((n, DEGREE + REVERSE), -1, "int32")
+    out[node, _ranks(node)] = other
+    return out
 
 
-def adjacency(graph: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, members (id and code of its neighbours in both directions)."""
-    back = first_of(graph.select(F.col("other").alias("node"), F.col("node").alias("other"), "near"), ["node"], [F.desc("near"), F.col("other")], REVERSE)
-    links = graph.select("node", "other").union(back.select("node", "other")).distinct()
-    known = nodes.select(F.col("node").alias("other"), "code")
-    return links.join(known, "other").groupBy("node").agg(F.collect_list(F.struct(F.col("other").alias("id"), "code")).alias("members"))
+def greedy(x: np.ndarray, links: np.ndarray, q: np.ndarray, own: np.ndarray, beam: int, rng: np.random.Generator):
+    """(query, node, near) of the nodes within ERROR of the KEEP-th best that greedy search finds for every row of ``q``; ``own`` is the query's node, or -1."""
+    n, found = len(x), []
+    beam = min(beam, n)
+    seeds = rng.permutation(n)[: max(4 * beam, n // 32)]
+    at_seeds = x[seeds].T
+    step, some = max(16, beam // 8), max(1, CELLS // n)
+    for first in range(0, len(q), some):
+        v, mine = q[first : first + some], own[first : first + some]
+        rows = np.arange(len(v))
+        known = np.flatnonzero(mine >= 0)
+        seen = np.zeros((len(v), n), bool)
+        seen[:, seeds] = True
+        start = v @ at_seeds
+        start[mine[:, None] == seeds[None, :]] = -3
+        at = np.argpartition(start, -beam, axis=1)[:, -beam:]
+        node, near = seeds[at], start[rows[:, None], at]
+        # the own node takes the place of the last one
+        seen[known, mine[known]] = True
+        last = near[known].argmin(1)
+        node[known, last], near[known, last] = mine[known], 2.0
+        closed = near <= -3
+        while True:
+            order = np.argsort(-near, axis=1, kind="stable")
+            node, near, closed = (np.take_along_axis(t, order, 1) for t in (node, near, closed))
+            pick = ~closed & (np.cumsum(~closed, axis=1) <= step)
+            i, j = np.nonzero(pick)
+            if not len(i):
+                break
+            closed |= pick
+            to = links[node[i, j]]
+            met = (i[:, None] * n + to)[to >= 0]
+            met = np.sort(met[~seen.ravel()[met]])
+            met = met[np.diff(met, prepend=-1) > 0]
+            seen.ravel()[met] = True
+            row, new = np.divmod(met, n)
+            ends = np.searchsorted(row, np.arange(len(v) + 1))
+            value = np.concatenate([x[new[b:e]] @ v[r] for r, (b, e) in enumerate(zip(ends[:-1], ends[1:], strict=True))])
+            better = value > near[row, -1]
+            row, new, value = row[better], new[better], value[better]
+            place = beam + _ranks(row)
+            wide = int(place.max(initial=beam - 1)) + 1
+            grown = [np.full((len(v), wide), fill, t.dtype) for t, fill in ((node, 0), (near, -3.0), (closed, True))]
+            for t, to_, held in zip(grown, (new, value, False), (node, near, closed), strict=True):
+                t[:, :beam], t[row, place] = held, to_
+            best = np.argpartition(grown[1], -beam, axis=1)[:, -beam:]
+            node, near, closed = (np.take_along_axis(t, best, 1) for t in grown)
+        i, j = np.nonzero((near > -3) & (near >= near[:, [min(KEEP, beam) - 1]] - ERROR))
+        found.append((first + i, node[i, j], near[i, j]))
+    return tuple(np.concatenate(f) for f in zip(*found, strict=True))
+
+
+def parts(total: int, tasks: int) -> int:
+    return max(1, -(-total // PART), min(tasks, total // SMALL_PART))
 
 
-def scored(front: DataFrame) -> DataFrame:
-    """(query, node, near) of the neighbours above the beam's worst, from (query, query_code, worst, members)."""
+def build(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """The graphs: part, node, code, links (32-bit places among the part's nodes, by id)."""
+    n_parts = parts(nodes.count(), nodes.sparkSession.sparkContext.defaultParallelism)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            lists = batch.column("members")
-            sizes = np.diff(np.asarray(lists.offsets))
-            flat = lists.flatten()
-            q = unit(batch.column("query_code").to_pylist())
-            owner = np.repeat(np.arange(batch.num_rows), sizes)
-            near = np.einsum("ij,ij->i", unit(flat.field("code").to_pylist()), q[owner]) if len(flat) else np.zeros(0)
-            keep = near > batch.column("worst").to_numpy(zero_copy_only=False)[owner]
-            query, ids = batch.column("query").to_numpy(zero_copy_only=False), flat.field("id").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(query[owner[keep]], pa.int64()), pa.array(ids[keep], pa.int64()), pa.array(near[keep], pa.float64())],
-                ["query", "node", "near"],
-            )
-
-    rows = front.select("query", "query_code", F.col("worst").cast("double").alias("worst"), "members")
-    return small_batches(rows).mapInArrow(run, "query long, node long, near double")
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("node")
+        ids = table["node"].to_numpy()
+        links = linked(unit(table["code"].to_pylist()), rounds, np.random.default_rng([len(ids), int(ids[0]) % 2**63]))
+        return table.append_column("links", pa.array([row[row >= 0].tobytes() for row in links], pa.binary()))
+
+    rows = nodes.select(F.pmod(F.xxhash64("node"), F.lit(n_parts)).alias("part"), "node", "code")
+    return stored(rows.groupBy("part").applyInArrow(run, "part long, node long, code binary, links binary"), "graph")
 
 
 def brute_force(nodes: DataFrame, queries: DataFrame) -> dict[int, list[float]]:
@@ -241,33 +316,42 @@ def best_of(beams: DataFrame) -> DataFrame:
     return placed.withColumn("__last", last).filter(F.col("near") >= F.col("__last") - ERROR).drop("__r", "__last")
 
 
+def search_parts(graph: DataFrame, queries: DataFrame, beam: int) -> DataFrame:
+    """(query, node, near): what every row of ``queries`` (query, query_code) finds in every part."""
+    spark = graph.sparkSession
+    held = [r["part"] for r in graph.select("part").distinct().collect()]
+    n_groups = max(1, -(-queries.count() // ASKING), -(-2 * spark.sparkContext.defaultParallelism // max(1, len(held))))
+    left = graph.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1))))
+    right = queries.withColumn("group", F.pmod(F.xxhash64("query", F.lit("group")), F.lit(n_groups)).cast("int"))
+    right = right.withColumn("part", F.explode(F.array(*[F.lit(p) for p in held]).cast("array<bigint>")))
+
+    def run(own: pa.Table, asked: pa.Table) -> pa.Table:
+        names = ["query", "node", "near"]
+        if not own.num_rows or not asked.num_rows:
+            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names)
+        own = own.sort_by("node")
+        ids, query = own["node"].to_numpy(), asked["query"].to_numpy()
+        places = [np.frombuffer(b, np.int32) for b in own["links"].to_pylist()]
+        links = np.full((len(ids), max(1, max(map(len, places)))), -1, np.int32)
+        sizes = np.array([len(p) for p in places])
+        links[np.arange(links.shape[1])[None, :] < sizes[:, None]] = np.concatenate(places)
+        at = np.minimum(np.searchsorted(ids, query), len(ids) - 1)
+        mine = np.where(ids[at] == query, at, -1)
+        q, rng = unit(asked["query_code"].to_pylist()), np.random.default_rng([len(ids), int(ids[0]) % 2**63])
+        which, node, near = greedy(unit(own["code"].to_pylist()), links, q, mine, beam, rng)
+        return pa.table([pa.array(query[which]), pa.array(ids[node]), pa.array(near)], names)
+
+    return left.groupBy("part", "group").cogroup(right.groupBy("part", "group")).applyInArrow(run, "query long, node long, near double")
+
+
 def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, beam: int = BEAM) -> DataFrame:
-    """(query, node, near): the beam of each row of ``queries`` (query, query_code) at the end; ``beam`` nodes, or as many more as the recall needs."""
-    near_by = stored(adjacency(graph, nodes), "adjacency")
-    near_by = near_by.repartition(int(graph.sparkSession.conf.get("spark.sql.shuffle.partitions")), "node").persist(StorageLevel.MEMORY_AND_DISK)
-    seeds = nodes.select("node", "code").orderBy(F.xxhash64("node")).limit(SEEDS)
+    """(query, node, near): what each row of ``queries`` (query, query_code) finds with beams of ``beam`` nodes, or as many more as the recall needs."""
     wanted = stored(queries, "queries")
-    entry = seeds.agg(F.collect_list(F.struct(F.col("node").alias("id"), "code")).alias("members")).head()
-    begin = [(r["id"], r["code"]) for r in entry["members"]]
-    start = F.array(*[F.struct(F.lit(i).cast("long").alias("id"), F.lit(bytes(c)).alias("code")) for i, c in begin])
-    from_seeds = scored(wanted.withColumn("worst", F.lit(-3.0)).withColumn("members", start)) if begin else None
-    own = wanted.join(nodes.select("node"), F.col("query") == F.col("node"), "left_semi").select("query", F.col("query").alias("node"), F.lit(2.0).alias("near"))
-    now = own if from_seeds is None else from_seeds.join(own.select("query", "node"), ["query", "node"], "left_anti").unionByName(own)
-    now = stored(now.withColumn("open", F.lit(True)), "beam")
     truth, total = brute_force(nodes, wanted), nodes.count()
-    while True:
-        if now.filter("open").isEmpty():
-            if beam >= total or recall(best_of(now), truth) >= WANTED:
-                break
-            # what narrower beams have dropped is met again
-            beam, now = 2 * beam, now.withColumn("open", F.lit(True))
-        worst = now.groupBy("query").agg(F.when(F.count(F.lit(1)) >= beam, F.min("near")).otherwise(F.lit(-3.0)).alias("worst"))
-        front = now.filter("open").select("query", "node").join(wanted, "query").join(worst, "query").join(near_by, "node")
-        seen = now.withColumn("open", F.lit(False)).unionByName(scored(front).withColumn("open", F.lit(True)))
-        merged = seen.groupBy("query", "node").agg(F.max("near").alias("near"), F.min("open").alias("open"))
-        now = stored(first_of(merged, ["query"], [F.desc("near"), F.col("node")], beam), "beam")
-    near_by.unpersist()
-    return now.select("query", "node", "near")
+    tried = wanted.filter(F.col("query").isin(list(truth)))
+    while beam < total and recall(best_of(search_parts(graph, tried, beam)), truth) < WANTED:
+        beam *= 2
+    return stored(search_parts(graph, wanted, beam), "beam")
 
 
 def cosine(a: str, b: str) -> Column:
